@@ -86,8 +86,9 @@ def live_blocks(steps: DataFrame, width: int) -> DataFrame:
     lowest = F.when(level < top, F.col("m") - 2 + F.col("m") % 2).otherwise(
         F.greatest(F.lit(0).cast("long"), F.shiftright(n - width, top))
     )
-    blocks = F.explode(F.sequence(lowest, F.col("m") - 1)).alias("block")
-    return counted.select("key", "n", "level", blocks)
+    blocks = F.explode(F.sequence("lowest", F.col("m") - 1)).alias("block")
+    spans = counted.withColumn("lowest", lowest).where(F.col("lowest") < F.col("m"))
+    return spans.select("key", "n", "level", blocks)
 
 
 def _start(block: str = "block") -> Column:

@@ -75,6 +75,8 @@ def cluster_sums(points: DataFrame, centres: Centres, vector: str = "v") -> Data
             spread += np.bincount(best, d[np.arange(len(d)), best], minlength=len(table))
             sums += (best == np.arange(len(table))[:, None]).astype("float64") @ x
         seen = np.flatnonzero(counts)
+        if not len(seen):
+            return
         yield pd.DataFrame(
             {
                 "cluster": seen.astype("int32"),

@@ -74,7 +74,7 @@ def _epoch_maps(samples: DataFrame, degree: int, rate: float, order_by: Sequence
         return as_row(pdf, "run", _product(maps))
 
     schema = f"key {samples.schema['key'].dataType.simpleString()}, run bigint, map array<double>"
-    numbered = keyed_index(samples.select("key", "x", "y", *order_by), ["key"], order_by)
+    numbered = keyed_index(samples.select("key", "x", "y", *order_by), ["key"], [*order_by, "x", "y"])
     longest = numbered.agg(F.max("pos")).first()[0]
     maps = (
         numbered.select("key", "pos", "x", "y")
@@ -98,7 +98,7 @@ def fit_by_key(
 ) -> DataFrame:
     """``(key, coefficients, epochs, sse)``: a polynomial per key of ``(key, x, y)`` samples.
 
-    Points are taken in the order of ``order_by`` (unique within a key). Descent ends when an
+    Points are taken in the order of ``order_by``, then of x and y. Descent ends when an
     epoch changes nothing, the squared error is at most ``target_error``, or after
     ``max_epochs``. It starts from zeros unless ``start`` is given. A rate too high for the
     data diverges, and the result then holds infinities or NaN.

@@ -44,7 +44,7 @@ RESOLVED = f"""
     FROM ({PLAYS}) LEFT JOIN ({ALIASES}) ON item_id = bad_id"""
 
 MATRIX = f"""
-    SELECT user_id, item_id, arg_max(cnt, (o_orderdate, o_orderkey, l_linenumber)) AS cnt
+    SELECT user_id, item_id, arg_max(cnt, (o_orderdate, o_orderkey, l_linenumber, cnt)) AS cnt
     FROM ({RESOLVED}) GROUP BY user_id, item_id"""
 
 WORDS = f"""
