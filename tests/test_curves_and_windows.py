@@ -48,12 +48,15 @@ def test_descent_takes_the_same_steps_as_a_loop(curve):
     assert tight.first().coefficients == pytest.approx([0.2, 1.8, 16.2], abs=1e-3)
 
 
-def test_descent_per_key_over_many_runs(spark, monkeypatch):
-    monkeypatch.setattr(polyfit, "RUN", 4)
+def test_descent_per_key_over_many_tasks(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "9")
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
     rng = np.random.default_rng(2)
     drawn = [(k, i, x) for k in ("1", "2") for i, x in enumerate(rng.random(70).tolist())]
     rows = [(k, i, x, x * int(k) + rng.normal(scale=0.1)) for k, i, x in drawn]
-    df = spark.createDataFrame(rows, "key string, at int, x double, y double").repartition(5)
+    df = session.createDataFrame(rows, "key string, at int, x double, y double").repartition(5)
     found = {r.key: r for r in polyfit.fit_by_key(df, 1, 0.01, ["at"], 50, 0.0).collect()}
     for k in ("1", "2"):
         w, epochs, _ = stepwise([(x, y) for kk, _, x, y in rows if kk == k], 1, 0.01, 50, 0.0)

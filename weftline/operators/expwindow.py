@@ -15,14 +15,18 @@ from pyspark.sql import functions as F
 from weftline.functions.scalars import relative_error
 from weftline.operators.lookup import salted_lookup
 from weftline.operators.numbering import keyed_index
+from weftline.shared import cut
 
 CHUNK = 1 << 16
 
 
 def number_bits(df: DataFrame, key: str, order_by: Sequence[str], bit: Column) -> DataFrame:
-    """``(key, pos, bit)`` from events; one key may hold any share of them."""
+    """``(key, pos, bit)`` from events; one key may hold any share of them.
+
+    Written once, as every window operator reads its bits more than once.
+    """
     rows = df.select(F.col(key).alias("key"), *order_by, bit.cast("int").alias("bit"))
-    return keyed_index(rows, ["key"], order_by).select("key", "pos", "bit")
+    return cut(keyed_index(rows, ["key"], order_by).select("key", "pos", "bit"), "bits")
 
 
 def ones_exact(bits: DataFrame, k: int) -> DataFrame:

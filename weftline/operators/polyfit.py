@@ -2,9 +2,9 @@
 
 A step on one point changes the coefficients w to w - 2 r (f(w) - y) f with f the powers of
 x: an affine map of w. Maps chain, so an epoch over all points, in their order, is one small
-matrix. Tasks multiply up bounded runs of points, the products are multiplied up in turn, and
-thousands of epochs then cost as many products of a (degree + 2)-square matrix with a vector:
-exactly the steps of a loop over all points, after one pass over the data.
+matrix. Tasks multiply up the points they hold, the tasks' products are multiplied up in turn,
+and thousands of epochs then cost as many products of a (degree + 2)-square matrix with a
+vector: exactly the steps of a loop over all points, after one pass over the data.
 """
 
 from __future__ import annotations
@@ -13,14 +13,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.scalars import polynomial
-from weftline.operators.numbering import keyed_index
-
-RUN = 8192
-
 
 def predict(samples: DataFrame, coefficients: Sequence[float]) -> DataFrame:
     return samples.withColumn("predicted", polynomial(F.col("x"), coefficients))
@@ -53,38 +50,48 @@ def _product(maps: np.ndarray) -> np.ndarray:
 
 
 def _epoch_maps(samples: DataFrame, degree: int, rate: float, order_by: Sequence[str]) -> DataFrame:
-    """``(key, map)``: the affine map of one epoch over each key's samples in order."""
-    side = degree + 2
+    """``(key, map)``: the affine map of one epoch over each key's samples in order.
 
-    def as_row(pdf: pd.DataFrame, place: str, product: np.ndarray) -> pd.DataFrame:
-        run = int(pdf[place].iloc[0]) // RUN
-        return pd.DataFrame({"key": pdf["key"].iloc[:1], "run": run, "map": [product.ravel()]})
+    Samples are range-partitioned on key and order, so a key may fill many tasks; each task
+    passes on one product per key it met, and a key's products number at most the partitions.
+    """
+    side = degree + 2
 
-    def step_maps(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        f = pdf["x"].to_numpy()[:, None] ** np.arange(degree + 1)
-        maps = np.tile(np.eye(side), (len(pdf), 1, 1))
+    def step_maps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        f = x[:, None] ** np.arange(degree + 1)
+        maps = np.tile(np.eye(side), (len(x), 1, 1))
         maps[:, :-1, :-1] -= 2 * rate * f[:, :, None] * f[:, None, :]
-        maps[:, :-1, -1] = 2 * rate * pdf["y"].to_numpy()[:, None] * f
-        return as_row(pdf, "pos", _product(maps))
+        maps[:, :-1, -1] = 2 * rate * y[:, None] * f
+        return maps
+
+    def multiply_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = TaskContext.get().partitionId()
+        found: dict = {}
+        for batch in batches:
+            for key, rows in batch.groupby("key", sort=False, dropna=False):
+                done = _product(step_maps(rows["x"].to_numpy(), rows["y"].to_numpy()))
+                if key not in found and found:
+                    # Sorted input: the keys before this one are complete.
+                    yield as_rows(found, part)
+                    found.clear()
+                found[key] = done @ found[key] if key in found else done
+        if found:
+            yield as_rows(found, part)
+
+    def as_rows(found: dict, part: int) -> pd.DataFrame:
+        maps = [m.ravel() for m in found.values()]
+        return pd.DataFrame({"key": list(found), "part": part, "map": maps})
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("run")
-        maps = np.stack(pdf["map"].to_numpy()).reshape(-1, side, side)
-        return as_row(pdf, "run", _product(maps))
-
-    schema = f"key {samples.schema['key'].dataType.simpleString()}, run bigint, map array<double>"
-    numbered = keyed_index(samples.select("key", "x", "y", *order_by), ["key"], [*order_by, "x", "y"])
-    longest = numbered.agg(F.max("pos")).first()[0]
-    maps = (
-        numbered.select("key", "pos", "x", "y")
-        .groupBy("key", F.floor(F.col("pos") / RUN))
-        .applyInPandas(step_maps, schema)
-    )
-    while longest is not None and longest >= RUN:
-        longest //= RUN
-        maps = maps.groupBy("key", F.floor(F.col("run") / RUN)).applyInPandas(chain, schema)
-    return maps.select("key", "map")
+        maps = np.stack(pdf.sort_values("part")["map"].to_numpy()).reshape(-1, side, side)
+        return as_rows({pdf["key"].iloc[0]: _product(maps)}, 0)
+
+    schema = f"key {samples.schema['key'].dataType.simpleString()}, part int, map array<double>"
+    order = ["key", *order_by, "x", "y"]
+    ranged = samples.select(*dict.fromkeys(order)).repartitionByRange(*order)
+    ordered = ranged.sortWithinPartitions(*order).select("key", "x", "y")
+    products = ordered.mapInPandas(multiply_up, schema)
+    return products.groupBy("key").applyInPandas(chain, schema).select("key", "map")
 
 
 def fit_by_key(

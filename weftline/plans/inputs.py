@@ -66,9 +66,12 @@ def aliases(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_sets(spark: SparkSession, folder: str) -> DataFrame:
-    """``(set_id, element)``: documents as sets of numbered lower-case words."""
+    """``(set_id, element)``: documents as sets of numbered lower-case words.
+
+    A document's repeated words are dropped before they are hashed, inside its own row.
+    """
     docs = table(spark, folder, "documents").select("doc_id", F.lower("text").alias("text"))
-    return words(docs, "text", ("doc_id",)).select(
+    return words(docs, "text", ("doc_id",), distinct=True).select(
         F.col("doc_id").alias("set_id"), word_number(F.col("word")).alias("element")
     )
 

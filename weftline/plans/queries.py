@@ -279,9 +279,9 @@ def minhash_signatures(spark, folder):
 
 def _compared(column: str) -> Query:
     def query(spark, folder):
-        compared = minhash.compare_with_reference(
-            inputs.word_sets(spark, folder), HASHES, MODULUS
-        )
+        lowest = table(spark, folder, "documents").agg(F.min("doc_id")).first()[0]
+        sets = inputs.word_sets(spark, folder)
+        compared = minhash.compare_with_reference(sets, HASHES, MODULUS, lowest)
         return _rounded(compared.select("set_id", column), column)
 
     return query
