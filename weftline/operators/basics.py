@@ -46,12 +46,12 @@ def bag_union(first: DataFrame, second: DataFrame) -> DataFrame:
 def intersection(first: DataFrame, second: DataFrame) -> DataFrame:
     """Rows found in both, without duplicates.
 
-    Each side is reduced to its distinct rows first (combined before the shuffle), so a value
-    that fills much of one side reaches the join as a single row.
+    One grouping of both sides instead of a join: rows combine before the one shuffle, so a
+    value that fills much of a side crosses it once per task, and NULLs compare as equal.
     """
-    left, right = first.distinct(), second.distinct()
-    same = [left[a].eqNullSafe(right[b]) for a, b in zip(left.columns, right.columns, strict=True)]
-    return left.join(right, same, "left_semi")
+    sides = first.withColumn("_in", F.lit(1)).unionByName(second.withColumn("_in", F.lit(2)))
+    seen = sides.groupBy(*first.columns).agg(F.min("_in").alias("_a"), F.max("_in").alias("_b"))
+    return seen.where("_a = 1 AND _b = 2").select(*first.columns)
 
 
 def first_rows(df: DataFrame, order_by: Sequence[str], k: int) -> DataFrame:

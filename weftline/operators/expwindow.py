@@ -36,7 +36,7 @@ def ones_exact(bits: DataFrame, k: int) -> DataFrame:
     is many window groups.
     """
     size = max(k, CHUNK)
-    own = F.floor(F.col("pos") / size)
+    own = F.expr(f"pos div {size}")
     reaches_on = F.col("pos") % size >= size - (k - 1)
     chunks = F.when(reaches_on, F.array(own, own + 1)).otherwise(F.array(own))
     last_k = Window.partitionBy("key", "chunk").orderBy("pos").rowsBetween(-(k - 1), 0)
