@@ -68,6 +68,30 @@ def test_nearest_pair(spark, block_rows):
     assert (found.i, found.j) == (i, j) and found.d == pytest.approx(d.min())
 
 
+def test_distant_blocks_are_left_out(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "FEW_BLOCKS", 1)
+    spans = spark.createDataFrame(
+        [(0, 0.0, 1.0, 2.5), (1, 1.0, 2.0, 0.1), (2, 3.0, 4.0, 9.0), (3, 4.0, 6.0, 0.5), (4, 8.0, 9.0, 2.0)],
+        "block int, lo double, hi double, reach double",
+    )
+    found = sorted((r.a, r.b) for r in pairs.within_reach(spans).collect())
+    assert found == [(0, 2), (2, 0), (2, 4)]
+    rng = np.random.default_rng(8)
+    table = np.column_stack([rng.random(90) * 50, rng.random(90)])
+    table[[3, 70]] = [[0.0, 0.5], [50.0, 0.5]]
+    d = np.sqrt(((table[:, None] - table) ** 2).sum(-1))
+    d[np.tril_indices(90)] = np.inf
+    i, j = np.unravel_index(d.argmin(), d.shape)
+    found = pairs.nearest_pair(points_of(spark, table), 4).first()
+    assert (found.i, found.j) == (i, j) and found.d == pytest.approx(d.min())
+    spread = np.random.default_rng(9).normal(size=(60, 6))
+    d = np.sqrt(((spread[:, None] - spread) ** 2).sum(-1))
+    d[np.tril_indices(60)] = np.inf
+    i, j = np.unravel_index(d.argmin(), d.shape)
+    found = pairs.nearest_pair(points_of(spark, spread), 4).first()
+    assert (found.i, found.j) == (i, j)
+
+
 def test_nearest_pair_with_copies_and_ties(spark):
     copies = points_of(spark, [[5, 5], [1, 1], [2, 2], [1, 1], [5, 5], [1, 1]])
     assert tuple(pairs.nearest_pair(copies).first()) == (0, 4, 0.0)
@@ -156,6 +180,14 @@ def test_single_linkage_in_segments(spark):
     same_merges(merges(linkage.single_linkage(points_of(spark, table[:50]), 8, 9)), greedy(table[:50], "single"))
 
 
+def test_single_linkage_past_distant_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "FEW_BLOCKS", 2)
+    monkeypatch.setattr(linkage, "FEW_BLOCKS", 2)
+    rng = np.random.default_rng(11)
+    table = np.concatenate([rng.normal(c, 1, size=(15, 3)) for c in (0, 6, 40)])
+    same_merges(merges(linkage.single_linkage(points_of(spark, table), 5)), greedy(table, "single"))
+
+
 def test_linkage_of_few_points(spark):
     assert merges(linkage.single_linkage(points_of(spark, [[1]]))) == []
     assert merges(linkage.average_linkage(points_of(spark, [[1]]))) == []
