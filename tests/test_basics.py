@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.operators import basics, numbering, words
+from weftline.sources.text import stream_lines
 
 
 @pytest.fixture
@@ -50,6 +51,21 @@ def test_words_and_vowels(spark):
     assert [tuple(r) for r in found] == [("aeiou", 5), ("queue", 4), ("queue", 4), ("Apple", 1)]
 
 
+def test_words_of_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("queue aeiou\nApple\n")
+    counted = words.vowel_counts(words.words(stream_lines(spark, str(tmp_path / "in"))))
+    query = (
+        counted.writeStream.trigger(availableNow=True)
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .format("parquet")
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(tuple(r) for r in found) == [("Apple", 1), ("aeiou", 5), ("queue", 4)]
+
+
 def test_ties_at_the_top_k_boundary_go_by_word(spark):
     df = spark.createDataFrame([("bab dad cac",)], "value string")
     found = words.most_vowels(words.words(df), 2).collect()

@@ -62,9 +62,7 @@ def _shift(value: Column, by: Column) -> Column:
 
 def block_sums(bits: DataFrame, width: int) -> DataFrame:
     """``(key, level, block, ones)``: ones in positions block * 2^level and on, 2^level long."""
-    single = bits.select(
-        "key", F.lit(0).alias("level"), F.col("pos").alias("block"), F.col("bit").cast("long").alias("ones")
-    )
+    single = bits.selectExpr("key", "0 AS level", "pos AS block", "CAST(bit AS BIGINT) AS ones")
     top = top_level(width)
     if top == 0:
         return single
@@ -104,7 +102,7 @@ def _end(block: str = "block") -> Column:
 
 
 def final_blocks(bits: DataFrame, width: int) -> DataFrame:
-    """``(key, n, level, block, first_pos, last_pos, ones)``: the blocks live at the end of each key."""
+    """``(key, n, level, block, first_pos, last_pos, ones)``: the blocks live at each key's end."""
     last = bits.groupBy("key").agg((F.max("pos") + 1).alias("n"))
     # Only the bits a live block can reach are summed.
     reach = width + 2 ** (top_level(width) + 1)
@@ -112,9 +110,9 @@ def final_blocks(bits: DataFrame, width: int) -> DataFrame:
         F.col("pos") >= F.col("n") - reach
     )
     live = live_blocks(last, width)
-    return live.join(block_sums(recent, width), ["key", "level", "block"]).select(
-        "key", "n", "level", "block", _start().alias("first_pos"), (_end() - 1).alias("last_pos"), "ones"
-    )
+    ends = [_start().alias("first_pos"), (_end() - 1).alias("last_pos")]
+    found = live.join(block_sums(recent, width), ["key", "level", "block"])
+    return found.select("key", "n", "level", "block", *ends, "ones")
 
 
 def estimates(bits: DataFrame, width: int, k: int, every: int = 10) -> DataFrame:

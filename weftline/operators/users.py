@@ -27,7 +27,8 @@ def resolve_aliases(plays: DataFrame, aliases: DataFrame, salt_by: Sequence[str]
 def utility_matrix(plays: DataFrame, arrival: Sequence[str], mode: str = "last") -> DataFrame:
     """``(user_id, item_id, cnt)``: the last count to arrive, or the sum with ``mode='sum'``.
 
-    Of counts that arrive together the largest is last. Kept in long form: a row per user would gather all items of a busy user in one value.
+    Of counts that arrive together the largest is last. Kept in long form: a row per user would
+    gather all items of a busy user in one value.
     """
     if mode == "last":
         cnt = F.max(F.struct(*arrival, "cnt"))["cnt"]

@@ -122,7 +122,8 @@ def int_count_distinct(spark, folder):
 
 
 def int_distinct_avg(spark, folder):
-    return _rounded(basics.distinct_average(_customers(spark, folder), "o_custkey"), "distinct_average")
+    found = basics.distinct_average(_customers(spark, folder), "o_custkey")
+    return _rounded(found, "distinct_average")
 
 
 def _keys(spark, folder):
@@ -167,7 +168,7 @@ def row_index(spark, folder):
 
 
 def _document_words(spark, folder):
-    return words.words(table(spark, folder, "documents").select("doc_id", "text"), "text", ("doc_id",))
+    return words.words(table(spark, folder, "documents"), "text", ("doc_id",))
 
 
 def all_words(spark, folder):

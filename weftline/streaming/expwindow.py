@@ -22,6 +22,7 @@ from weftline.sources.tables import table
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "key bigint, n bigint, estimate double, levels array<int>, ones array<bigint>"
 _WAITING = "ts timestamp, event_id bigint, bit int"
+_WINDOW = "n bigint, counts array<int>, ones array<bigint>"
 
 
 class Window:
@@ -65,7 +66,7 @@ class _PushInOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", _WAITING)
-        self.window = handle.getValueState("window", "n bigint, counts array<int>, ones array<bigint>")
+        self.window = handle.getValueState("window", _WINDOW)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
