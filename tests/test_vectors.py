@@ -92,9 +92,11 @@ def test_distant_blocks_are_left_out(spark, monkeypatch):
     assert (found.i, found.j) == (i, j)
 
 
-def test_nearest_pair_with_copies_and_ties(spark):
+@pytest.mark.parametrize("few", [1, 16])
+def test_nearest_pair_with_copies_and_ties(spark, monkeypatch, few):
+    monkeypatch.setattr(pairs, "FEW_BLOCKS", few)
     copies = points_of(spark, [[5, 5], [1, 1], [2, 2], [1, 1], [5, 5], [1, 1]])
-    assert tuple(pairs.nearest_pair(copies).first()) == (0, 4, 0.0)
+    assert tuple(pairs.nearest_pair(copies, 2).first()) == (0, 4, 0.0)
     ties = points_of(spark, [[9], [7], [3], [1], [5]])
     assert tuple(pairs.nearest_pair(ties, 2).first()) == (0, 1, 2.0)
     assert pairs.nearest_pair(points_of(spark, [[1]])).first().d is None
@@ -197,5 +199,6 @@ def test_linkage_of_few_points(spark):
 def test_centroid_linkage_with_sizes_and_falling_heights(spark):
     sized = spark.createDataFrame([(0, [0.0], 3), (1, [4.0], 1), (2, [9.0], 2)], "id bigint, v array<double>, size bigint")
     assert merges(linkage.centroid_linkage(sized)) == [(0, 1, 4.0, 4), (2, 3, 8.0, 6)]
+    assert merges(linkage.centroid_linkage(sized, n_clusters=2)) == [(0, 1, 4.0, 4)]
     triangle = [[0, 0], [2, 0], [1, 1.8]]
     same_merges(merges(linkage.centroid_linkage(points_of(spark, triangle))), greedy(triangle, "centroid"))
