@@ -143,7 +143,12 @@ def test_stream_with_disorder_and_late_events(spark, tmp_path):
         .option("maxFilesPerTrigger", 1)
         .option("recursiveFileLookup", "true")
         .json(str(tmp_path / "in"))
-        .select("key", F.timestamp_seconds("second").alias("ts"), "event_id", "bit")
+        .select(
+            F.concat(F.lit("user "), "key").alias("key"),
+            F.timestamp_seconds("second").alias("ts"),
+            "event_id",
+            "bit",
+        )
     )
     query = (
         streamed.stream_estimates(events, 20, 15, every=5, delay="5 seconds")
@@ -157,7 +162,7 @@ def test_stream_with_disorder_and_late_events(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("n").collect()
     bits = bits_of(spark, {1: PATTERN[:60]})
     expected = {r.n: r.estimate for r in expwindow.estimates(bits, 20, 15, 5).collect()}
-    assert {r.n: r.estimate for r in got} == expected and {r.key for r in got} == {1}
+    assert {r.n: r.estimate for r in got} == expected and {r.key for r in got} == {"user 1"}
     live = expwindow.live_blocks(bits.selectExpr("key", "pos + 1 AS n").where("n = 60"), 20)
     ones = live.join(expwindow.block_sums(bits, 20), ["key", "level", "block"]).orderBy("level", "block")
     assert [(r.level, r.ones) for r in ones.collect()] == list(zip(got[-1].levels, got[-1].ones, strict=True))

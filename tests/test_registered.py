@@ -39,8 +39,11 @@ def test_sql_belongs_to_queries():
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
-def test_query_equals_sql(spark, duck, name):
+def test_query_equals_sql(spark, duck, capsys, name):
     df = QUERIES[name](spark, FOLDER)
+    df.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     columns = sorted(df.columns)
     result = duck.execute(SQL[name])
     names = [c[0] for c in result.description]

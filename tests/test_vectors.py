@@ -158,8 +158,8 @@ def same_merges(got, expected):
 @pytest.mark.parametrize("name", ["complete", "average"])
 def test_linkage_across_blocks(spark, name):
     """Blocks far smaller than the last clusters, which then are spread over several."""
-    table = np.random.default_rng(4).normal(size=(40, 2))
-    same_merges(merges(LINKAGES[name](points_of(spark, table), 6)), greedy(table, name))
+    table = np.random.default_rng(4).normal(size=(26, 2))
+    same_merges(merges(LINKAGES[name](points_of(spark, table), 8)), greedy(table, name))
 
 
 @pytest.mark.parametrize("name", ["complete", "average"])

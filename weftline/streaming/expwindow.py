@@ -20,7 +20,7 @@ from weftline.shared import new_path
 from weftline.sources.tables import table
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUTPUT = "key bigint, n bigint, estimate double, levels array<int>, ones array<bigint>"
+OUTPUT = "n bigint, estimate double, levels array<int>, ones array<bigint>"
 _WAITING = "ts timestamp, event_id bigint, bit int"
 _WINDOW = "n bigint, counts array<int>, ones array<bigint>"
 
@@ -89,7 +89,7 @@ class _PushInOrder(StatefulProcessor):
             self.handle.registerTimer(_timer(later["ts"].min()))
         yield self._push(key[0], ready["bit"])
 
-    def _push(self, key: int, bits: pd.Series) -> pd.DataFrame:
+    def _push(self, key, bits: pd.Series) -> pd.DataFrame:
         window = Window(self.width)
         if self.window.exists():
             n, counts, ones = self.window.get()
@@ -127,12 +127,13 @@ def stream_estimates(
     """
     if not 1 <= k <= width:
         raise ValueError("k must lie between 1 and the window width")
+    key_type = events.schema["key"].dataType.simpleString()
     return (
         events.withWatermark("ts", delay)
         .groupBy("key")
         .transformWithStateInPandas(
             statefulProcessor=_PushInOrder(width, k, every),
-            outputStructType=OUTPUT,
+            outputStructType=f"key {key_type}, {OUTPUT}",
             outputMode="Append",
             timeMode="EventTime",
         )
@@ -164,4 +165,4 @@ def replay_events(
         .start(out)
     )
     query.awaitTermination()
-    return spark.read.schema(OUTPUT).parquet(out)
+    return spark.read.schema(f"key bigint, {OUTPUT}").parquet(out)
