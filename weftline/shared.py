@@ -7,26 +7,15 @@ knows its size, so joins against it are planned from real numbers.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"weftline-{application}-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; if unset, the session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir(spark.sparkContext.applicationId)
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -35,6 +24,34 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def cut(df: DataFrame, label: str = "state") -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of it."""
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Tables(df.sparkSession).cut(df, label)
+
+
+class Tables:
+    """The written tables of one operator call; those no later result reads can be dropped."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def cut(self, df: DataFrame, label: str = "state") -> DataFrame:
+        path = new_path(self.spark, label)
+        df.write.parquet(path)
+        written = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(written)] = (written, path)
+        return written
+
+    def drop(self, *written: DataFrame | None) -> None:
+        """Delete tables made by ``cut``; frames made by anything else are left alone."""
+        for df in written:
+            kept = self._paths.pop(id(df), None)
+            if kept is not None:
+                remove(self.spark, kept[1])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table below the shared folder through the file system that holds it."""
+    if not path.startswith(f"{shared_dir(spark)}/weftline/"):
+        raise ValueError(f"not a table of this library: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
