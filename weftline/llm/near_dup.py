@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.graph import components
 from weftline.llm.membership import KeyFilter, key_filter
+from weftline.llm.rows import with_rows, without_rows
 from weftline.llm.word_hashes import NOT_BLANK, Words, blocks, grams, mix, words
 from weftline.shared import Tables
 
@@ -156,7 +157,7 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view("i8"))
 
 
-_SKETCHED = "doc_id bigint, n bigint, high bigint, low bigint, sketch binary"
+_SKETCHED = "doc_id bigint, mark bigint, n bigint, high bigint, low bigint, sketch binary"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,13 +171,13 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(block.first, block.rows),
+                    *batch.select(["doc_id", "mark"]).slice(block.first, block.rows).columns,
                     pa.array(np.diff(sets.bounds)),
                     _signed(high),
                     _signed(low),
                     raw.cast(pa.binary()),
                 ],
-                names=["doc_id", "n", "high", "low", "sketch"],
+                names=["doc_id", "mark", "n", "high", "low", "sketch"],
             )
 
 
@@ -315,14 +316,14 @@ def _class_components(classes: DataFrame, docs: DataFrame, tables: Tables) -> Da
     return roots
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``: every row of ``docs`` and its component.
+def _grouped(docs: DataFrame, tables: Tables) -> DataFrame:
+    """``(doc_id, mark, n, root, component)`` for every row; ``mark`` is a hash of its text.
 
-    ``component_id`` is the least doc_id reachable over links; ``kept`` says that it is the
-    row's own (or that the row has no doc_id to compare).
+    ``root`` is NULL for rows without words.
     """
-    tables = Tables(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text"
+    )
     sketched = tables.cut(texts.mapInArrow(_sketched, _SKETCHED), "sketched")
     first = sketched.where("n > 0").groupBy("high", "low", "n").agg(
         F.min("doc_id").alias("least"), F.first("sketch").alias("sketch")
@@ -331,13 +332,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = _class_components(classes, texts, tables)
     named = _roots_of(classes.select("high", "low", "node", "least"), roots)
     ids = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = tables.cut(named.join(ids, "root").select("high", "low", "component"), "components")
+    named = tables.cut(named.join(ids, "root").select("high", "low", "root", "component"), "named")
     tables.drop(classes, roots)
-    return _joined(sketched.drop("sketch"), named)
+    rows = sketched.select("doc_id", "mark", "n", "high", "low").join(named, ["high", "low"], "left")
+    return rows.select("doc_id", "mark", "n", "root", "component")
+
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)``: every row of ``docs`` and its component.
 
-def _joined(rows: DataFrame, named: DataFrame) -> DataFrame:
-    rows = rows.join(named, ["high", "low"], "left")
+    ``component_id`` is the least doc_id reachable over links; ``kept`` says that it is the
+    row's own (or that the row has no doc_id to compare).
+    """
+    rows = _grouped(docs, Tables(docs.sparkSession))
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return rows.select(
         "doc_id",
@@ -345,3 +352,25 @@ def _joined(rows: DataFrame, named: DataFrame) -> DataFrame:
         own.alias("component_id"),
         F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component, with its columns as they came: the least doc_id's.
+
+    Rows without words all stay. Of rows equal in doc_id and text one stays; rows without
+    doc_id give way to rows with one.
+    """
+    tables = Tables(docs.sparkSession)
+    rows = tables.cut(_grouped(docs, tables).where("root IS NOT NULL"), "grouped")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    stays = rows.groupBy("root").agg(F.min(order).alias("first"))
+    other = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark")))
+    leaves = rows.join(stays, "root").where(other).select("doc_id", "mark").distinct()
+    kept = without_rows(docs, tables.cut(leaves, "leaves"))
+    repeated = rows.groupBy("doc_id", "mark").count().where("count > 1").select("doc_id", "mark")
+    repeated = tables.cut(repeated, "repeated")
+    tables.drop(rows)
+    if repeated.isEmpty():
+        return kept
+    again = with_rows(kept, repeated).dropDuplicates(["doc_id", "text"])
+    return without_rows(kept, repeated).unionByName(again)

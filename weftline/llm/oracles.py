@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from weftline.llm import quality_rules as q
+from weftline.llm.licenses import TEMPLATES, THRESHOLD
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -95,5 +96,102 @@ _URL_FILTER = f"""
 """
 
 
+_DECONTAMINATION = rf"""
+    WITH RECURSIVE docs AS (
+        SELECT row_number() OVER () AS rid, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    items AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}),
+                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    item_at AS (
+        SELECT item_id, w, least(13, len(w)) AS span,
+               unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0),
+    windows AS (
+        SELECT DISTINCT item_id, span, array_to_string(list_slice(w, i, i + span - 1), ' ') AS gram
+        FROM item_at),
+    doc_at AS (
+        SELECT rid, w, span, unnest(range(1, len(w) - span + 2)) AS i
+        FROM docs, (SELECT DISTINCT span FROM windows) WHERE len(w) >= span),
+    grams AS (
+        SELECT rid, i, span, array_to_string(list_slice(w, i, i + span - 1), ' ') AS gram FROM doc_at),
+    hits AS (SELECT rid, i, span, item_id FROM grams JOIN windows USING (span, gram)),
+    places AS (SELECT DISTINCT rid, unnest(range(i, i + span)) AS at FROM hits),
+    covered AS (SELECT rid, count(*) AS n_hit FROM places GROUP BY rid),
+    named AS (
+        SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+        FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY rid)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM docs LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
+"""
+
+
+_NEAR_DUP = rf"""
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}),
+                                          '[^\x20\x09-\x0D]+') AS w FROM documents),
+    each AS (
+        SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM docs WHERE len(w) > 0),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s FROM each),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * c >= 75 * (x.n + y.n - c)),
+    steps AS (SELECT a AS p, b AS q FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (
+        SELECT p, q FROM steps UNION SELECT reach.p, steps.q FROM reach JOIN steps ON reach.q = steps.p),
+    least AS (SELECT p AS doc_id, min(q) AS other FROM reach GROUP BY p)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
+           doc_id = least(doc_id, coalesce(other, doc_id)) AS kept
+    FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
+def _license_scan() -> str:
+    quoted = [(n, name, text.replace("'", "''")) for n, (name, text) in enumerate(sorted(TEMPLATES))]
+    listed = ", ".join(f"({n}, '{name}', '{text}')" for n, name, text in quoted)
+    pattern = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+    def bigrams(source: str, keys: str) -> str:
+        words = f"regexp_extract_all(translate(body, {_LETTERS}), {pattern})"
+        return f"""
+            SELECT DISTINCT {keys}, w[i] || ' ' || w[i + 1] AS g FROM (
+                SELECT {keys}, w, unnest(range(1, len(w))) AS i
+                FROM (SELECT {keys}, {words} AS w FROM {source}))"""
+
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
+    texts(t, license, body) AS (VALUES {listed}),
+    lines AS (
+        SELECT rid, unnest(string_split(body, chr(10))) AS body,
+               unnest(range(0, len(string_split(body, chr(10))))) AS line FROM docs),
+    units AS (SELECT rid, body, line FROM lines UNION ALL SELECT rid, body, -1 FROM docs),
+    of_unit AS ({bigrams("units", "rid, line")}),
+    of_text AS ({bigrams("texts", "t, license")}),
+    unit_size AS (SELECT rid, line, count(*) AS a FROM of_unit GROUP BY ALL),
+    text_size AS (SELECT t, count(*) AS b FROM of_text GROUP BY ALL),
+    common AS (SELECT rid, line, t, license, count(*) AS c FROM of_unit JOIN of_text USING (g) GROUP BY ALL),
+    matched AS (
+        SELECT rid, line, license, 2 * c / (a + b) AS dice
+        FROM common JOIN unit_size USING (rid, line) JOIN text_size USING (t)
+        WHERE 2 * c / (a + b) >= {THRESHOLD}
+        QUALIFY row_number() OVER (
+            PARTITION BY rid ORDER BY dice DESC, line = -1, line, t) = 1)
+    SELECT doc_id, license, dice, line FROM docs LEFT JOIN matched USING (rid)
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _quality_rules(), "op10_url_filter": _URL_FILTER}
+    return {
+        "op1_quality_rules": _quality_rules(),
+        "op2_license_scan": _license_scan(),
+        "op5_near_dup": _NEAR_DUP,
+        "op8_decontamination": _DECONTAMINATION,
+        "op10_url_filter": _URL_FILTER,
+    }

@@ -9,3 +9,6 @@ URL_RULES = [
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 ]
+
+# One of the public tokenizers, by file name.
+TOKENIZER = "word_bpe_49k.json"
