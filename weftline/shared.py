@@ -7,10 +7,13 @@ knows its size, so joins against it are planned from real numbers.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_FILE = 500_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; if unset, the session's warehouse."""
@@ -34,9 +37,13 @@ class Tables:
         self.spark = spark
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def cut(self, df: DataFrame, label: str = "state") -> DataFrame:
+    def cut(
+        self, df: DataFrame, label: str = "state", rows: int | None = None, per_file: int = ROWS_PER_FILE
+    ) -> DataFrame:
+        """Write ``df``. With an upper bound of its ``rows``, small tables are few files."""
         path = new_path(self.spark, label)
-        df.write.parquet(path)
+        files = None if rows is None else max(1, math.ceil(rows / per_file))
+        (df if files is None else df.coalesce(files)).write.parquet(path)
         written = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(written)] = (written, path)
         return written
