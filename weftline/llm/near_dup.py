@@ -12,10 +12,10 @@ estimate from their registers, corrected for registers that agree by chance, whi
 from 0.15 (five standard deviations) below the threshold; then the full sets are compared.
 
 Documents of equal sets are one class from the start. In a bucket of any size members are
-first compared with one of them only; what that joins to one component needs no further pairs.
-Members of buckets that still hold several components are compared with more pivots per round,
-until all members of the bucket have been pivots: no link between components is lost, and a
-large group of near copies costs pairs in proportion to its members.
+first compared with one of them only, the one that meets most others: what that joins needs no
+further pairs. Of buckets that still hold several components, small ones compare their members;
+large ones go by their members' rarest shingles (see ``_by_shingles``), which loses no link
+either and does not form the pairs of a group that merely shares a long passage.
 
 Defined results: texts without words, null ones too, are linked with nothing; a row without
 doc_id takes part but cannot name a component; repeated rows fall in one class; an empty table
@@ -24,13 +24,13 @@ gives an empty table; only doc_id and text are read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.graph import components
@@ -48,9 +48,10 @@ BAND = 5
 BANDS = REGISTERS // BAND
 MARGIN = 0.15
 
-# A bucket of at most so many members may compare all of them in its second round; beyond it
-# pivots grow by this factor each round.
-PIVOTS = 16
+# Members of a bucket, or of a shingle, that are few enough to be compared with each other.
+FEW = 16
+
+ROWS_PER_FILE_OF_SETS = 10_000
 
 
 class Sets(NamedTuple):
@@ -235,31 +236,43 @@ def _wanted_sets(wanted: KeyFilter):
     return scan
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, tables: Tables) -> DataFrame:
+def _sets(members: DataFrame, classes: DataFrame, docs: DataFrame, tables: Tables) -> DataFrame:
+    """``(node, shingles)`` of all classes that share a bucket, as a written table.
+
+    The texts are read again for this; sets that share no bucket do not leave their task.
+    """
+    nodes = members.select("node").distinct()
+    named = classes.join(nodes, "node", "left_semi").select("node", "high", "low")
+    named = tables.cut(named, "named", classes.count())
+    texts = docs.select("text").mapInArrow(
+        _wanted_sets(key_filter(named, "high")), "high bigint, low bigint, shingles array<bigint>"
+    )
+    sets = texts.join(named, ["high", "low"]).groupBy("node").agg(F.first("shingles").alias("shingles"))
+    sets = tables.cut(sets, "sets", named.count(), ROWS_PER_FILE_OF_SETS)
+    tables.drop(named)
+    return sets
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, tables: Tables) -> DataFrame:
     """The pairs ``(a, b)`` that pass sizes, estimate and full comparison, as a written table."""
 
     def side(x: str) -> DataFrame:
         return classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
 
+    def members(x: str) -> DataFrame:
+        return sets.select(F.col("node").alias(x), F.col("shingles").alias(f"of_{x}"))
+
+    n = pairs.count()
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     near = F.least("n_a", "n_b") * 100 >= SIMILAR * F.greatest("n_a", "n_b")
     likely = tables.cut(
-        sized.where(near).mapInArrow(_promising, "a bigint, b bigint, n_a bigint, n_b bigint"), "likely"
+        sized.where(near).mapInArrow(_promising, "a bigint, b bigint, n_a bigint, n_b bigint"), "likely", n
     )
-    ends = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node")))
-    named = tables.cut(classes.join(ends.distinct(), "node", "left_semi").select("node", "high", "low"), "named")
-    texts = docs.select("text").mapInArrow(
-        _wanted_sets(key_filter(named, "high")), "high bigint, low bigint, shingles array<bigint>"
-    )
-    sets = texts.join(named, ["high", "low"]).groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = tables.cut(sets, "sets")
-    compared = likely.join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b"
-    ).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
+    compared = likely.join(members("b"), "b").join(members("a"), "a")
     common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
     linked = compared.where(100 * common >= SIMILAR * (F.col("n_a") + F.col("n_b") - common))
-    links = tables.cut(linked.select("a", "b"), "links")
-    tables.drop(likely, named, sets)
+    links = tables.cut(linked.select("a", "b"), "links", likely.count())
+    tables.drop(likely)
     return links
 
 
@@ -273,49 +286,116 @@ def _roots_of(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _chosen(members: DataFrame, *by: str) -> DataFrame:
+    """``(*by, pivot)``: per group the member that meets most others over all its buckets.
+
+    The text a group of near copies was made from is in more of their buckets than any copy,
+    and is near copies that are not near each other.
+    """
+    meets = members.groupBy("node").agg(F.sum("size").alias("meets"))
+    best = F.max(F.struct("meets", (-F.col("node")).alias("minus")))
+    chosen = members.join(meets, "node").groupBy(*by).agg(best.alias("p"))
+    return chosen.select(*by, (-F.col("p.minus")).alias("pivot"))
+
+
 def _class_components(classes: DataFrame, docs: DataFrame, tables: Tables) -> DataFrame:
     """``(node, root)`` for the classes linked with another one."""
-    banded = classes.where("n > 0").select("node", "sketch").mapInArrow(_bucketed, "bucket bigint, node bigint")
-    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-    members = banded.join(hubs.where("hub < top").select("bucket", "hub"), "bucket")
-    members = tables.cut(members, "members")
-    pairs = members.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    tested = tables.cut(pairs, "tested")
-    links = _confirm(tested, classes, docs, tables)
-    roots = components(links, tables)
-    pivots = PIVOTS
-    while True:
-        placed = _roots_of(members.select("bucket", "node"), roots)
-        mixed = placed.groupBy("bucket").agg(
-            F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count(F.lit(1)).alias("size")
-        )
-        left = placed.join(mixed.where("_lo < _hi").select("bucket", "size"), "bucket")
-        left = tables.cut(left, "left")
-        salt = F.when(F.col("size") <= pivots, F.col("node")).otherwise(
-            F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots))
-        )
-        chosen = left.groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("node", "root")).alias("p"))
-        chosen = chosen.select("bucket", F.col("p.node").alias("pivot"), F.col("p.root").alias("its"))
-        fresh = left.join(chosen, "bucket").where("root <> its").select(*_ordered(F.col("pivot"), F.col("node")))
-        fresh = tables.cut(fresh.distinct().join(tested, ["a", "b"], "left_anti"), "tested")
-        more = not fresh.isEmpty()
-        unfinished = not left.where(F.col("size") > pivots).isEmpty()
-        tables.drop(left)
-        if more:
-            found = _confirm(fresh, classes, docs, tables)
-            before, seen = links, tested
-            links = tables.cut(before.unionByName(found), "links")
-            tested = tables.cut(seen.unionByName(fresh), "tested")
-            tables.drop(before, seen, found, roots)
-            roots = components(links, tables)
-        tables.drop(fresh)
-        if not unfinished:
-            break
-        pivots *= PIVOTS
-    tables.drop(members, tested, links)
+    n_classes = classes.count()
+    banded = classes.select("node", "sketch").mapInArrow(_bucketed, "bucket bigint, node bigint")
+    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = tables.cut(banded.join(sizes, "bucket"), "members", n_classes * BANDS)
+    sets = _sets(members, classes, docs, tables)
+    n_members = members.count()
+    met = members.join(_chosen(members, "bucket"), "bucket").where("pivot <> node")
+    pairs = met.select(*_ordered(F.col("pivot"), F.col("node"))).distinct()
+    tested = [tables.cut(pairs, "tested", n_members)]
+    links = [_confirm(tested[0], classes, sets, tables)]
+    roots = components(links[0], tables)
+    placed = _roots_of(members.select("bucket", "node"), roots)
+    mixed = placed.groupBy("bucket").agg(
+        F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count(F.lit(1)).alias("size")
+    )
+    left = placed.join(mixed.where("_lo < _hi").select("bucket", "size"), "bucket")
+    left = tables.cut(left, "left", n_members)
+    small = left.where(F.col("size") <= FEW)
+    fresh = _apart(small, small, "bucket")
+    large = left.where(F.col("size") > FEW)
+    core = None
+    if not large.isEmpty():
+        rare, core = _by_shingles(large, classes, sets, tables)
+        stars = core.where("rep <> node AND root <> rep_root").select(*_ordered(F.col("rep"), F.col("node")))
+        reps = large.join(core.where("rep = node").select("node"), "node", "left_semi")
+        fresh = fresh.unionByName(rare).unionByName(stars).unionByName(_apart(reps, reps, "bucket"))
+    fresh = fresh.distinct().join(tested[0], ["a", "b"], "left_anti")
+    tested.append(tables.cut(fresh, "tested", left.count() * FEW))
+    links.append(_confirm(tested[1], classes, sets, tables))
+    if core is not None:
+        # Cores that link bring their members with them, each compared with the other's least.
+        ends = core.select("node", "rep")
+        joined = links[1].unionByName(links[1].select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = core.where("rep = node").select(F.col("node").alias("b"))
+        across = joined.join(least, "b", "left_semi").join(ends.withColumnRenamed("rep", "a"), "a")
+        across = across.select(*_ordered(F.col("node"), F.col("b"))).where("a <> b").distinct()
+        for seen in tested:
+            across = across.join(seen, ["a", "b"], "left_anti")
+        tested.append(tables.cut(across, "tested", left.count()))
+        links.append(_confirm(tested[2], classes, sets, tables))
+    tables.drop(roots, left, core)
+    roots = components(reduce(DataFrame.unionByName, links), tables)
+    tables.drop(members, sets, *tested, *links)
     return roots
 
 
+def _apart(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes that share ``key`` and lie in different components."""
+    left = one.select(key, F.col("node").alias("a"), F.col("root").alias("root_a"))
+    right = other.select(key, F.col("node").alias("b"), F.col("root").alias("root_b"))
+    return left.join(right, key).where("a < b AND root_a <> root_b").select("a", "b")
+
+
+def _by_shingles(
+    large: DataFrame, classes: DataFrame, sets: DataFrame, tables: Tables
+) -> tuple[DataFrame, DataFrame]:
+    """What members of large buckets must be compared with, without forming their pairs.
+
+    Sets of similarity t share a shingle among the n - ceil(t n) + 1 rarest of each. Shingles
+    of at most ``FEW`` members are rare: sharing one among those makes a pair. What is left are
+    sets whose rarest shingles reach into the frequent ones, the ``core``: without a common
+    rare shingle two of them have exactly their frequent shingles in common. With equal
+    frequent shingles the smallest set is the most similar to every other, so each is compared
+    with that one, and of two groups first their smallest.
+
+    Gives the rare pairs and ``(node, root, rep, rep_root)`` of the core.
+    """
+    nodes = large.select("node", "root").distinct()
+    sized = classes.select("node", "n").join(nodes, "node")
+    taken = F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + 1
+    shingles = sets.join(nodes, "node").select("node", "root", F.explode("shingles").alias("s"))
+    counts = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    shared = tables.cut(shingles.join(counts, "s"), "shared")
+    often = F.col("f") > FEW
+    of_node = shared.groupBy("node").agg(
+        F.count(F.lit(1)).alias("shared"),
+        F.sum(often.cast("long")).alias("often"),
+        F.bit_xor(F.when(often, F.xxhash64("s"))).alias("one"),
+        F.bit_xor(F.when(often, F.xxhash64("s", F.lit(1)))).alias("two"),
+    )
+    of_node = tables.cut(sized.join(of_node, "node").withColumn("taken", taken), "shares")
+    # The shingles of one set, rarest first; those of no other member come before them.
+    order = F.row_number().over(Window.partitionBy("node").orderBy("f", "s"))
+    rare = shared.where(~often).withColumn("nth", order)
+    rare = rare.join(of_node.select("node", (F.col("taken") - F.col("n") + F.col("shared")).alias("most")), "node")
+    rare = rare.where(F.col("nth") <= F.col("most"))
+    pairs = tables.cut(_apart(rare, rare, "s").distinct(), "rare")
+    heavy = of_node.where(F.col("n") - F.col("often") < F.col("taken"))
+    least = heavy.groupBy("one", "two", "often").agg(F.min(F.struct("n", "node", "root")).alias("rep"))
+    core = heavy.join(least, ["one", "two", "often"])
+    core = core.select("node", "root", F.col("rep.node").alias("rep"), F.col("rep.root").alias("rep_root"))
+    core = tables.cut(core, "core", nodes.count())
+    tables.drop(shared, of_node)
+    return pairs, core
+
+
 def _grouped(docs: DataFrame, tables: Tables) -> DataFrame:
     """``(doc_id, mark, n, root, component)`` for every row; ``mark`` is a hash of its text.
 

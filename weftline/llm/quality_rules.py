@@ -225,7 +225,10 @@ def _verdict(rows: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
     over = F.lit(False)
     for r in RULES:
         over = over | F.coalesce(F.col("measures")[r] > F.col("_limits")[r], F.lit(False))
-    return joined.withColumn("kept", ~base_failed() & ~over).drop("_stratum", "_limits")
+    # As one sum the verdict needs both sides of the join. Split in two, its first half would be
+    # pushed below the measures, which would then be computed anew for every word of a text.
+    faults = base_failed().cast("int") + over.cast("int")
+    return joined.withColumn("kept", faults == 0).drop("_stratum", "_limits")
 
 
 def learn_cutoffs(measures: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
