@@ -166,3 +166,20 @@ def test_stream_with_disorder_and_late_events(spark, tmp_path):
     live = expwindow.live_blocks(bits.selectExpr("key", "pos + 1 AS n").where("n = 60"), 20)
     ones = live.join(expwindow.block_sums(bits, 20), ["key", "level", "block"]).orderBy("level", "block")
     assert [(r.level, r.ones) for r in ones.collect()] == list(zip(got[-1].levels, got[-1].ones, strict=True))
+
+
+def test_null_keys_are_fitted_too(spark):
+    for kind, keys in (("string", ("a", None)), ("bigint", (1, None))):
+        rows = [(k, i, float(i), 2.0 * i) for k in keys for i in range(5)]
+        df = spark.createDataFrame(rows, f"key {kind}, at int, x double, y double")
+        found = {r.key: r.coefficients for r in polyfit.fit_by_key(df, 1, 0.01, ["at"], 30, 0.0).collect()}
+        assert set(found) == set(keys) and found[None] == pytest.approx(found[keys[0]])
+
+
+def test_stream_reads_a_table_stored_as_a_folder(spark, tmp_path):
+    events = [(i, f"2024-01-01 00:00:{i % 60:02d}", i % 2, t) for i, t in enumerate(["purchase", "view", None] * 20)]
+    df = spark.createDataFrame(events, "event_id bigint, ts string, user_id bigint, event_type string")
+    df = df.withColumn("ts", F.to_timestamp_ntz("ts"))
+    df.repartition(3).write.parquet(f"{tmp_path}/folder/events.parquet")
+    rows = streamed.replay_events(spark, f"{tmp_path}/folder", 20, 15).collect()
+    assert {r.n for r in rows} >= {10, 20} and all(0 <= r.estimate <= 15 for r in rows)

@@ -46,7 +46,7 @@ def plays(spark):
 @pytest.fixture(scope="module")
 def utility(spark, plays):
     aliases = spark.createDataFrame([(31, 30), (30, 30)], "bad_id bigint, good_id bigint")
-    return users.resolve_aliases(plays, aliases, ["at"])
+    return users.resolve_aliases(plays, aliases)
 
 
 def test_user_similarity(utility):
@@ -69,7 +69,7 @@ def test_last_count_wins_unless_summed(utility):
 
 def test_aliases_go_one_hop(spark, plays):
     chain = spark.createDataFrame([(31, 30), (30, 29)], "bad_id bigint, good_id bigint")
-    found = users.resolve_aliases(plays, chain, ["at"]).where("user_id = 1").collect()
+    found = users.resolve_aliases(plays, chain).where("user_id = 1").collect()
     assert sorted(r.item_id for r in found) == [10, 20, 30]
 
 
@@ -133,3 +133,30 @@ def test_malformed_lines_are_kept_aside(spark, tmp_path):
 def test_duplicate_aliases_keep_the_last(spark):
     rows = spark.createDataFrame([(1, 2, 0), (1, 3, 1), (4, 5, 2)], "bad_id bigint, good_id bigint, at int")
     assert sorted(tuple(r) for r in text.alias_table(rows, "at").collect()) == [(1, 3), (4, 5)]
+
+
+def test_line_order_follows_the_numbers_in_names(spark, tmp_path):
+    for part in (99_999, 100_000, 100_001):
+        (tmp_path / f"part-{part}.txt").write_text(f"{part}\tx\n")
+    lines = text.numbered_lines(spark, str(tmp_path)).orderBy("line_no").collect()
+    assert [(r.line_no, r.value) for r in lines] == [(0, "99999\tx"), (1, "100000\tx"), (2, "100001\tx")]
+
+
+def test_the_last_line_of_a_repeated_alias_counts(spark, tmp_path):
+    (tmp_path / "part-00009.txt").write_text("1\t2\n1\t3\nbad\n4\t5\n")
+    (tmp_path / "part-00010.txt").write_text("1\t9\n")
+    found = text.read_alias_table(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 9), (4, 5)]
+
+
+def test_empty_documents_have_signatures(spark, tmp_path):
+    from weftline.plans import inputs
+
+    rows = [(1, ""), (2, None), (3, "b a"), (4, " ")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    params = minhash.hash_params(4, 1)
+    sets = inputs.word_sets(spark, str(tmp_path))
+    found = {r.set_id: r.signature for r in minhash.signatures(sets, params, 1000).collect()}
+    assert set(found) == {1, 2, 3, 4}
+    assert found[1] == found[2] == found[4] == [minhash.HASH_PRIME] * 4 != found[3]
+    assert minhash.compare_with_reference(sets, params, 1000).count() == 3

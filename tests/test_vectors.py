@@ -68,8 +68,7 @@ def test_nearest_pair(spark, block_rows):
     assert (found.i, found.j) == (i, j) and found.d == pytest.approx(d.min())
 
 
-def test_distant_blocks_are_left_out(spark, monkeypatch):
-    monkeypatch.setattr(pairs, "FEW_BLOCKS", 1)
+def test_distant_blocks_are_left_out(spark):
     spans = spark.createDataFrame(
         [(0, 0.0, 1.0, 2.5), (1, 1.0, 2.0, 0.1), (2, 3.0, 4.0, 9.0), (3, 4.0, 6.0, 0.5), (4, 8.0, 9.0, 2.0)],
         "block int, lo double, hi double, reach double",
@@ -92,9 +91,7 @@ def test_distant_blocks_are_left_out(spark, monkeypatch):
     assert (found.i, found.j) == (i, j)
 
 
-@pytest.mark.parametrize("few", [1, 16])
-def test_nearest_pair_with_copies_and_ties(spark, monkeypatch, few):
-    monkeypatch.setattr(pairs, "FEW_BLOCKS", few)
+def test_nearest_pair_with_copies_and_ties(spark):
     copies = points_of(spark, [[5, 5], [1, 1], [2, 2], [1, 1], [5, 5], [1, 1]])
     assert tuple(pairs.nearest_pair(copies, 2).first()) == (0, 4, 0.0)
     ties = points_of(spark, [[9], [7], [3], [1], [5]])
@@ -171,20 +168,18 @@ def test_linkage_of_copies(spark, name):
     assert [n for *_, n in got][-3:] == [n for *_, n in expected][-3:]
 
 
-def test_single_linkage_in_segments(spark):
+def test_single_linkage_with_copies(spark):
     table = np.random.default_rng(5).normal(size=(50, 2)).tolist()
     table += [table[7], table[7], table[20]]
-    got = merges(linkage.single_linkage(points_of(spark, table), 8, segment=9))
+    got = merges(linkage.single_linkage(points_of(spark, table), 8))
     expected = greedy(table, "single")
     # The three merges of copies tie at 0; what follows is unique but for their numbers.
     assert sorted(n for *_, n in got[:3]) == sorted(n for *_, n in expected[:3])
     assert [(h, n) for _, _, h, n in got[3:]] == [(pytest.approx(h), n) for _, _, h, n in expected[3:]]
-    same_merges(merges(linkage.single_linkage(points_of(spark, table[:50]), 8, 9)), greedy(table[:50], "single"))
+    same_merges(merges(linkage.single_linkage(points_of(spark, table[:50]), 8)), greedy(table[:50], "single"))
 
 
-def test_single_linkage_past_distant_blocks(spark, monkeypatch):
-    monkeypatch.setattr(pairs, "FEW_BLOCKS", 2)
-    monkeypatch.setattr(linkage, "FEW_BLOCKS", 2)
+def test_single_linkage_past_distant_blocks(spark):
     rng = np.random.default_rng(11)
     table = np.concatenate([rng.normal(c, 1, size=(15, 3)) for c in (0, 6, 40)])
     same_merges(merges(linkage.single_linkage(points_of(spark, table), 5)), greedy(table, "single"))
@@ -202,3 +197,43 @@ def test_centroid_linkage_with_sizes_and_falling_heights(spark):
     assert merges(linkage.centroid_linkage(sized, n_clusters=2)) == [(0, 1, 4.0, 4)]
     triangle = [[0, 0], [2, 0], [1, 1.8]]
     same_merges(merges(linkage.centroid_linkage(points_of(spark, triangle))), greedy(triangle, "centroid"))
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), None])
+def test_points_that_are_not_finite_are_refused(spark, bad):
+    rows = [(i, [float(i), 0.0]) for i in range(11)] + [(11, [bad, 1.0])]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    for run in (pairs.nearest_pair, *LINKAGES.values(), lambda x: pairs.pairs_within(x, 1.0)):
+        with pytest.raises(ValueError, match="point 11"):
+            run(df).collect()
+
+
+@pytest.mark.parametrize("radius", [0.0, 0.4, float("inf")])
+def test_pairs_within(spark, radius):
+    table = np.random.default_rng(6).normal(size=(50, 2)).tolist()
+    table += [table[3], table[3]]
+    t = np.asarray(table)
+    d = np.sqrt(((t[:, None] - t) ** 2).sum(-1))
+    expected = [(i, j) for i in range(52) for j in range(i + 1, 52) if d[i, j] <= radius]
+    found = sorted(tuple(r) for r in pairs.pairs_within(points_of(spark, table), radius, 7).collect())
+    assert [(i, j) for i, j, _ in found] == expected
+    assert [x for *_, x in found] == pytest.approx([d[i, j] for i, j in expected])
+
+
+@pytest.mark.parametrize("stop", [{}, {"n_clusters": 3}, {"max_height": 17.0}, {"n_clusters": 4, "max_height": 99.0}, {"n_clusters": 6}])
+def test_cluster_labels(spark, six_points, stop):
+    merged = linkage.single_linkage(six_points)
+    got = {r["id"]: r["cluster"] for r in linkage.cluster_labels(merged, six_points, **stop).collect()}
+    groups = {i: {i} for i in range(6)}
+    for a, b, height, _ in merges(merged):
+        if len({frozenset(g) for g in groups.values()}) <= stop.get("n_clusters", 1) or height > stop.get("max_height", 1e9):
+            break
+        new = groups[a] | groups[b]
+        for node in [*new, 6 + merges(merged).index((a, b, height, _))]:
+            groups[node] = new
+        for node in (a, b):
+            groups[node] = new
+        for k, g in list(groups.items()):
+            if g & new:
+                groups[k] = new
+    assert got == {i: min(groups[i]) for i in range(6)}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.scalars import relative_error
-from weftline.operators.lookup import salted_lookup
+from weftline.operators.lookup import lookup
 from weftline.operators.numbering import keyed_index
 from weftline.shared import cut
 
@@ -106,7 +106,7 @@ def final_blocks(bits: DataFrame, width: int) -> DataFrame:
     last = bits.groupBy("key").agg((F.max("pos") + 1).alias("n"))
     # Only the bits a live block can reach are summed.
     reach = width + 2 ** (top_level(width) + 1)
-    recent = salted_lookup(bits, last, ["key"], ["pos"], "inner").where(
+    recent = lookup(bits, last, ["key"], "inner").where(
         F.col("pos") >= F.col("n") - reach
     )
     live = live_blocks(last, width)

@@ -80,7 +80,9 @@ def _epoch_maps(samples: DataFrame, degree: int, rate: float, order_by: Sequence
 
     def as_rows(found: dict, part: int) -> pd.DataFrame:
         maps = [m.ravel() for m in found.values()]
-        return pd.DataFrame({"key": list(found), "part": part, "map": maps})
+        # A NULL key comes as None or NaN; as an object column it goes back as NULL.
+        keys = pd.Series([None if pd.isna(k) else k for k in found], dtype=object)
+        return pd.DataFrame({"key": keys, "part": part, "map": maps})
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         maps = np.stack(pdf.sort_values("part")["map"].to_numpy()).reshape(-1, side, side)
@@ -139,7 +141,8 @@ def fit_by_key(
             yield pd.DataFrame(rows, columns=["key", "coefficients", "epochs", "sse"])
 
     maps = _epoch_maps(samples, degree, rate, order_by)
-    joined = maps.join(moments(samples, degree, ["key"]), "key")
+    sums = moments(samples, degree, ["key"]).withColumnRenamed("key", "_key")
+    joined = maps.join(sums, F.col("key").eqNullSafe(F.col("_key"))).drop("_key")
     key_type = samples.schema["key"].dataType.simpleString()
     return joined.mapInPandas(
         descend, f"key {key_type}, coefficients array<double>, epochs int, sse double"

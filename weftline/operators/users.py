@@ -10,17 +10,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.lookup import salted_lookup
+from weftline.operators.lookup import lookup
 
 
-def resolve_aliases(plays: DataFrame, aliases: DataFrame, salt_by: Sequence[str]) -> DataFrame:
+def resolve_aliases(plays: DataFrame, aliases: DataFrame) -> DataFrame:
     """Replace aliased items by their good id, one hop only; other items stay.
 
-    ``aliases`` is ``(bad_id, good_id)`` with one row per bad id. An item that holds a large
-    share of the plays is spread over salts, told apart by ``salt_by``.
+    ``aliases`` is ``(bad_id, good_id)`` with one row per bad id (see ``alias_table``). It is
+    written first, so that a small one leaves the plays where they are.
     """
     table = aliases.select(F.col("bad_id").alias("item_id"), "good_id")
-    joined = salted_lookup(plays, table, ["item_id"], salt_by)
+    joined = lookup(plays, table, ["item_id"], write=True)
     return joined.withColumn("item_id", F.coalesce("good_id", "item_id")).drop("good_id")
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.functions.scalars import WORD_GAP
 from weftline.operators import expwindow
-from weftline.operators.lookup import salted_lookup
+from weftline.operators.lookup import lookup
 from weftline.operators.minhash import word_number
-from weftline.operators.words import words
 from weftline.sources.tables import table
 
 ARRIVAL = ["o_orderdate", "o_orderkey", "l_linenumber"]
@@ -59,25 +59,29 @@ def aliases(spark: SparkSession, folder: str) -> DataFrame:
     """``(bad_id, good_id)``: parts stand for the lowest key of the same brand and type."""
     parts = table(spark, folder, "part").select("p_partkey", "p_brand", "p_type")
     lowest = parts.groupBy("p_brand", "p_type").agg(F.min("p_partkey").alias("good_id"))
-    named = salted_lookup(parts, lowest, ["p_brand", "p_type"], ["p_partkey"], "inner")
+    named = lookup(parts, lowest, ["p_brand", "p_type"], "inner", write=True)
     return named.where(F.col("p_partkey") != F.col("good_id")).select(
         F.col("p_partkey").alias("bad_id"), "good_id"
     )
 
 
 def word_sets(spark: SparkSession, folder: str) -> DataFrame:
-    """``(set_id, element)``: documents as sets of numbered lower-case words.
+    """``(set_id, element)``: documents as bags of numbered lower-case words.
 
-    A document's repeated words are dropped before they are hashed, inside its own row.
+    Minima do not mind repeated words, so none are dropped. A document without words keeps one
+    row, whose element is NULL.
     """
     docs = table(spark, folder, "documents").select("doc_id", F.lower("text").alias("text"))
-    return words(docs, "text", ("doc_id",), distinct=True).select(
-        F.col("doc_id").alias("set_id"), word_number(F.col("word")).alias("element")
-    )
+    parts = F.split(F.coalesce("text", F.lit("")), WORD_GAP)
+    # Blanks at a text's ends leave empty parts, which like the NULL count for nothing.
+    each = docs.select("doc_id", F.explode(parts).alias("word"))
+    element = F.when(F.col("word") != "", word_number(F.col("word")))
+    return each.select(F.col("doc_id").alias("set_id"), element.alias("element"))
 
 
 def purchase_bit() -> Column:
-    return F.col("event_type") == "purchase"
+    """An event without a type is no purchase."""
+    return F.coalesce(F.col("event_type") == "purchase", F.lit(False))
 
 
 def bits(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,6 +90,12 @@ def bits(spark: SparkSession, folder: str) -> DataFrame:
     return expwindow.number_bits(events, "user_id", ["ts", "event_id"], purchase_bit())
 
 
+def all_bits(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for all events as one stream, whose key is 0."""
+    events = table(spark, folder, "events").withColumn("stream", F.lit(0).cast("long"))
+    return expwindow.number_bits(events, "stream", ["ts", "event_id"], purchase_bit())
+
+
 def samples(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as ``(x, y)``: quantity and price, scaled to about [0, 1]."""
     return table(spark, folder, "lineitem").select(

@@ -13,6 +13,7 @@ from weftline.plans.settings import (
     MATRIX_COLUMNS,
     MATRIX_ROWS,
     MODULUS,
+    RADIUS,
     ROUNDS,
     SAMPLE_FRACTION,
     SAMPLE_ROWS,
@@ -67,12 +68,13 @@ CENTRE_PAIRS = f"""{LABEL_CENTRES},
 
 SETS = f"""
     WITH sets AS (
-        SELECT doc_id AS set_id, CAST('0x' || substr(md5(word), 1, 7) AS BIGINT) + 1 AS x
-        FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '{GAP}')) AS word
-              FROM documents)
-        WHERE word <> ''),
+        SELECT d.doc_id AS set_id, x FROM documents d LEFT JOIN (
+            SELECT doc_id, CAST('0x' || substr(md5(word), 1, 7) AS BIGINT) + 1 AS x
+            FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '{GAP}')) AS word
+                  FROM documents)
+            WHERE word <> '') w ON d.doc_id = w.doc_id),
     signatures AS (
-        SELECT set_id, [{", ".join(f"min((({p.a} * x + {p.b}) % {p.prime}) % {MODULUS} + 1)" for p in HASHES)}] AS s
+        SELECT set_id, [{", ".join(f"coalesce(min((({p.a} * x + {p.b}) % {p.prime}) % {MODULUS} + 1), {p.prime})" for p in HASHES)}] AS s
         FROM sets GROUP BY set_id),
     reference AS (SELECT s AS r FROM signatures ORDER BY set_id LIMIT 1),
     others AS (
@@ -85,6 +87,12 @@ BITS = """
     FROM events"""
 
 
+def _as_one_stream(sql: str) -> str:
+    """The same statement over all events as one stream with key 0."""
+    return sql.replace("user_id AS key", "CAST(0 AS BIGINT) AS key").replace("PARTITION BY user_id ", "")
+
+
+
 def _kmeans(rounds: int) -> str:
     """Points, start centres ``c0`` and, per round i, assignment ``a<i>`` and centres ``c<i>``."""
     steps = [
@@ -181,7 +189,14 @@ def oracle_sql() -> dict[str, str]:
         for i, p in enumerate(HASHES[:3])
     )
     u1, u2 = USERS
+    report = f"""{ESTIMATES}
+            SELECT key, n, ones AS actual, CAST(estimate AS DOUBLE) AS estimate,
+                   CAST(estimate - ones AS DOUBLE) AS absolute_error,
+                   round((estimate - ones) / nullif(CAST(ones AS DOUBLE), 0), 6) AS relative_error
+            FROM estimates JOIN ({EXACT}) USING (key, n)"""
     return {
+        "ones_exact_global": _as_one_stream(EXACT),
+        "ones_error_report_global": _as_one_stream(report),
         "read_vectors": f"SELECT CAST(len(embedding) AS INTEGER) AS dimensions, {vector_cells} FROM embeddings",
         "read_alias": ALIASES,
         "read_triples": f"SELECT user_id, item_id, cnt FROM ({PLAYS})",
@@ -198,6 +213,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT i, j, round(d, 6) AS d FROM near
             UNION ALL SELECT j AS i, i AS j, round(d, 6) AS d FROM near
             UNION ALL SELECT CAST(id AS BIGINT), CAST(id AS BIGINT), 0.0 FROM centres""",
+        "pairs_within": f"""
+            WITH pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+            SELECT a.id AS i, b.id AS j, round(list_distance(a.v, b.v), 6) AS d
+            FROM pts a JOIN pts b ON a.id < b.id WHERE list_distance(a.v, b.v) <= {RADIUS}""",
         "nearest_pair": """
             WITH pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
             near AS (
@@ -291,11 +310,7 @@ def oracle_sql() -> dict[str, str]:
                    (block + 1) * (1 << level) - 1 AS last_pos, CAST(ones AS BIGINT) AS ones
             FROM live JOIN sums USING (key, level, block)""",
         "expwin_estimate": f"{ESTIMATES} SELECT key, n, CAST(estimate AS DOUBLE) AS estimate FROM estimates",
-        "ones_error_report": f"""{ESTIMATES}
-            SELECT key, n, ones AS actual, CAST(estimate AS DOUBLE) AS estimate,
-                   CAST(estimate - ones AS DOUBLE) AS absolute_error,
-                   round((estimate - ones) / nullif(CAST(ones AS DOUBLE), 0), 6) AS relative_error
-            FROM estimates JOIN ({EXACT}) USING (key, n)""",
+        "ones_error_report": report,
         "expwin_stream": (
             f"{ESTIMATES} SELECT key, n, CAST(estimate AS DOUBLE) AS estimate FROM estimates".replace(
                 "FROM events",

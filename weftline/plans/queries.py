@@ -31,6 +31,7 @@ from weftline.plans.settings import (
     MATRIX_ROWS,
     MICRO_CLUSTERS,
     MODULUS,
+    RADIUS,
     RATE,
     ROUNDS,
     SAMPLE_FRACTION,
@@ -67,8 +68,12 @@ def read_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_alias(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "aliases")
-    inputs.aliases(spark, folder).select(F.concat_ws("\t", "bad_id", "good_id")).write.text(path)
-    return text.read_aliases(spark, path).where("_corrupt IS NULL").drop("_corrupt")
+    line = F.concat_ws("\t", "bad_id", "good_id")
+    # Each bad id twice, as files may hold it: the later line counts.
+    older = inputs.aliases(spark, folder).select("bad_id", F.lit(-1).alias("good_id"))
+    older.select(line).write.text(f"{path}/1")
+    inputs.aliases(spark, folder).select(line).write.text(f"{path}/2")
+    return text.read_alias_table(spark, f"{path}/*")
 
 
 def read_triples(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,10 +152,6 @@ def _orders(spark, folder):
     return table(spark, folder, "orders").select("o_orderkey", "o_custkey")
 
 
-def sample_rows(spark, folder):
-    return basics.bernoulli_sample(_orders(spark, folder), SAMPLE_FRACTION, SAMPLE_SEED)
-
-
 def sample_by_hash(spark, folder):
     return basics.hash_sample(_orders(spark, folder), ["o_orderkey"], SAMPLE_FRACTION, SAMPLE_SEED)
 
@@ -203,6 +204,10 @@ def pairwise_square(spark, folder):
     return _rounded(pairs.centre_square(inputs.label_centres(spark, folder)), "d")
 
 
+def pairs_within(spark, folder):
+    return _rounded(pairs.pairs_within(inputs.points(spark, folder), RADIUS), "d")
+
+
 def nearest_pair(spark, folder):
     return _rounded(pairs.nearest_pair(inputs.points(spark, folder)), "d")
 
@@ -293,13 +298,13 @@ def _compared(column: str) -> Query:
 
 def alias_resolve(spark, folder):
     plays, aliases = inputs.plays(spark, folder), inputs.aliases(spark, folder)
-    resolved = users.resolve_aliases(plays, aliases, ["o_orderkey", "l_linenumber"])
+    resolved = users.resolve_aliases(plays, aliases)
     return resolved.select("o_orderkey", "l_linenumber", "user_id", "item_id", "cnt")
 
 
 def _matrix_of_plays(spark, folder, mode="last"):
     plays, aliases = inputs.plays(spark, folder), inputs.aliases(spark, folder)
-    resolved = users.resolve_aliases(plays, aliases, ["o_orderkey", "l_linenumber"])
+    resolved = users.resolve_aliases(plays, aliases)
     return users.utility_matrix(resolved, inputs.ARRIVAL, mode)
 
 
@@ -390,6 +395,16 @@ def ones_error_report(spark, folder):
     return _rounded(report, "relative_error")
 
 
+def ones_exact_global(spark, folder):
+    """All events as one stream, whose bits fill many tasks."""
+    return expwindow.ones_exact(inputs.all_bits(spark, folder), LAST_K)
+
+
+def ones_error_report_global(spark, folder):
+    report = expwindow.error_report(inputs.all_bits(spark, folder), WIDTH, LAST_K)
+    return _rounded(report, "relative_error")
+
+
 def expwin_stream(spark, folder):
     """The estimates of all events the final watermark has passed."""
     return replay_events(spark, folder, WIDTH, LAST_K).select("key", "n", "estimate")
@@ -407,6 +422,7 @@ def queries() -> dict[str, Query]:
         "pairwise_sqdist": pairwise_sqdist,
         "pairwise_euclid": pairwise_euclid,
         "pairwise_square": pairwise_square,
+        "pairs_within": pairs_within,
         "nearest_pair": nearest_pair,
         "alias_resolve": alias_resolve,
         "row_count": row_count,
@@ -417,7 +433,6 @@ def queries() -> dict[str, Query]:
         "int_distinct_avg": int_distinct_avg,
         "union_all": union_all,
         "intersect_keys": intersect_keys,
-        "sample_rows": sample_rows,
         "sample_by_hash": sample_by_hash,
         "sample_exact": sample_exact,
         "row_index": row_index,
@@ -454,5 +469,7 @@ def queries() -> dict[str, Query]:
         "expwin_blocks": expwin_blocks,
         "expwin_estimate": expwin_estimate,
         "ones_error_report": ones_error_report,
+        "ones_exact_global": ones_exact_global,
+        "ones_error_report_global": ones_error_report_global,
         "expwin_stream": expwin_stream,
     }

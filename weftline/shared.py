@@ -62,3 +62,8 @@ def remove(spark: SparkSession, path: str) -> None:
         raise ValueError(f"not a table of this library: {path}")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).isDirectory()

@@ -5,6 +5,8 @@ Readers keep lines they cannot parse: the values are NULL and ``_corrupt`` holds
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,9 +26,17 @@ def _strip(line: Column) -> Column:
     return F.regexp_replace(line, rf"^{WORD_GAP}|{WORD_GAP}$", "")
 
 
-def _quarantined(parsed: DataFrame, line: Column, ok: Column, columns: list[str]) -> DataFrame:
+def _quarantined(
+    parsed: DataFrame, line: Column, ok: Column, columns: list[str], keep: Sequence[str] = ()
+) -> DataFrame:
     kept = [F.when(ok, F.col(c)).alias(c) for c in columns]
-    return parsed.select(*kept, F.when(~ok, line).alias("_corrupt"))
+    return parsed.select(*keep, *kept, F.when(~ok, line).alias("_corrupt"))
+
+
+def _in_order(path: Column) -> Column:
+    """A path with its numbers padded, so that part 100000 comes after part 99999."""
+    padded = F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1")
+    return F.regexp_replace(padded, r"0*(\d{20})(?!\d)", "$1")
 
 
 def read_ints(spark: SparkSession, path: str) -> DataFrame:
@@ -56,16 +66,26 @@ def write_vectors(df: DataFrame, path: str, vector: str = "v") -> None:
 
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     """``(bad_id, good_id, _corrupt)`` from two fields parted by a tab."""
-    lines = read_lines(spark, path).withColumnRenamed("value", "line")
+    return _alias_fields(read_lines(spark, path).withColumnRenamed("value", "line"))
+
+
+def _alias_fields(lines: DataFrame, *keep: str) -> DataFrame:
     fields = F.split("line", "\t")
     parsed = lines.select(
         "line",
+        *keep,
         F.size(fields).alias("n"),
         _strip(F.get(fields, 0)).try_cast("long").alias("bad_id"),
         _strip(F.get(fields, 1)).try_cast("long").alias("good_id"),
     )
     ok = (F.col("n") == 2) & F.col("bad_id").isNotNull() & F.col("good_id").isNotNull()
-    return _quarantined(parsed, F.col("line"), ok, ["bad_id", "good_id"])
+    return _quarantined(parsed, F.col("line"), ok, ["bad_id", "good_id"], keep)
+
+
+def read_alias_table(spark: SparkSession, path: str) -> DataFrame:
+    """``(bad_id, good_id)``: one row per bad id, by its last line in file and line order."""
+    lines = numbered_lines(spark, path)
+    return alias_table(_alias_fields(lines.withColumnRenamed("value", "line"), "line_no"), "line_no")
 
 
 def alias_table(numbered: DataFrame, order: str) -> DataFrame:
@@ -90,8 +110,9 @@ def read_triples(spark: SparkSession, path: str) -> DataFrame:
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(line_no, value)``: lines counted from 0 across all files in path order.
 
-    Each file split keeps its lines in order. They are stamped while read and written once;
-    then one row per split gives the offsets, so no line is shuffled or sorted.
+    Numbers in paths count as numbers. Each file split keeps its lines in order. They are
+    stamped while read and written once; the offsets are one row per split, written too, so
+    Spark broadcasts them by their size unless there are very many splits.
     """
     stamped = cut(
         read_lines(spark, path).select(
@@ -105,12 +126,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = stamped.groupBy("_file", "_start").agg(
         F.count(F.lit(1)).alias("_lines"), F.min("_stamp").alias("_first")
     )
-    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(_in_order(F.col("_file")), "_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "_file", "_start", "_first", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_at")
     )
     line_no = F.col("_at") + F.col("_stamp") - F.col("_first")
-    return stamped.join(offsets, ["_file", "_start"]).select(line_no.alias("line_no"), "value")
+    return stamped.join(cut(offsets, "offsets"), ["_file", "_start"]).select(line_no.alias("line_no"), "value")
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:

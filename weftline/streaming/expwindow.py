@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from weftline.operators.expwindow import top_level
-from weftline.shared import new_path
+from weftline.plans.inputs import purchase_bit
+from weftline.shared import is_folder, new_path
 from weftline.sources.tables import table
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -148,12 +149,17 @@ def replay_events(
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     session.conf.set("spark.sql.session.timeZone", "UTC")
     schema = table(spark, folder, "events").schema
-    source = session.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    bits = source.parquet(folder).select(
+    source = session.readStream.schema(schema)
+    path = f"{folder.rstrip('/')}/events.parquet"
+    if is_folder(spark, path):
+        rows = source.parquet(path)
+    else:
+        rows = source.option("pathGlobFilter", "events.parquet").parquet(folder)
+    bits = rows.select(
         F.col("user_id").alias("key"),
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
-        (F.col("event_type") == "purchase").cast("int").alias("bit"),
+        purchase_bit().cast("int").alias("bit"),
     )
     out = new_path(spark, "stream")
     query = (
