@@ -51,6 +51,10 @@ MARGIN = 0.15
 # Members of a bucket, or of a shingle, that are few enough to be compared with each other.
 FEW = 16
 
+# Sets and shingles that a task compares at once.
+BLOCK_ROWS = 512
+SHINGLES_AT_ONCE = 4096
+
 ROWS_PER_FILE_OF_SETS = 10_000
 
 
@@ -324,22 +328,12 @@ def _class_components(classes: DataFrame, docs: DataFrame, tables: Tables) -> Da
     if not large.isEmpty():
         rare, core = _by_shingles(large, classes, sets, tables)
         stars = core.where("rep <> node AND root <> rep_root").select(*_ordered(F.col("rep"), F.col("node")))
-        reps = large.join(core.where("rep = node").select("node"), "node", "left_semi")
-        fresh = fresh.unionByName(rare).unionByName(stars).unionByName(_apart(reps, reps, "bucket"))
+        fresh = fresh.unionByName(rare).unionByName(stars)
     fresh = fresh.distinct().join(tested[0], ["a", "b"], "left_anti")
     tested.append(tables.cut(fresh, "tested", left.count() * FEW))
     links.append(_confirm(tested[1], classes, sets, tables))
     if core is not None:
-        # Cores that link bring their members with them, each compared with the other's least.
-        ends = core.select("node", "rep")
-        joined = links[1].unionByName(links[1].select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = core.where("rep = node").select(F.col("node").alias("b"))
-        across = joined.join(least, "b", "left_semi").join(ends.withColumnRenamed("rep", "a"), "a")
-        across = across.select(*_ordered(F.col("node"), F.col("b"))).where("a <> b").distinct()
-        for seen in tested:
-            across = across.join(seen, ["a", "b"], "left_anti")
-        tested.append(tables.cut(across, "tested", left.count()))
-        links.append(_confirm(tested[2], classes, sets, tables))
+        links.append(_between_cores(large, _compared_further(core, links[1]), sets, tables))
     tables.drop(roots, left, core)
     roots = components(reduce(DataFrame.unionByName, links), tables)
     tables.drop(members, sets, *tested, *links)
@@ -353,6 +347,83 @@ def _apart(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return left.join(right, key).where("a < b AND root_a <> root_b").select("a", "b")
 
 
+def _linked_blocks(one: pa.Table, other: pa.Table) -> pa.Table:
+    """Linked pairs of different components between two blocks, by their full sets."""
+    names = ["a", "b"]
+    if not len(one) or not len(other):
+        return pa.table({n: pa.array([], pa.int64()) for n in names})
+    sides = []
+    for t in (one, other):
+        lists = t.column("shingles").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        sides.append((t.column("node").to_numpy(), t.column("root").to_numpy(), sizes, lists.flatten().to_numpy()))
+    (p, p_root, n, x), (q, q_root, m, y) = sides
+    both = np.intersect1d(x, y)
+    common = np.zeros((len(p), len(q)), "f4")
+    rows_x, rows_y = np.repeat(np.arange(len(p)), n), np.repeat(np.arange(len(q)), m)
+    at_x, at_y = np.searchsorted(both, x), np.searchsorted(both, y)
+    in_x = (at_x < len(both)) & (both[np.minimum(at_x, len(both) - 1)] == x) if len(both) else np.zeros(len(x), bool)
+    in_y = (at_y < len(both)) & (both[np.minimum(at_y, len(both) - 1)] == y) if len(both) else np.zeros(len(y), bool)
+    rows_x, at_x, rows_y, at_y = rows_x[in_x], at_x[in_x], rows_y[in_y], at_y[in_y]
+    for first in range(0, len(both), SHINGLES_AT_ONCE):
+        width = min(SHINGLES_AT_ONCE, len(both) - first)
+        of = []
+        for rows, at, count in ((rows_x, at_x, len(p)), (rows_y, at_y, len(q))):
+            here = (at >= first) & (at < first + width)
+            held = np.zeros((count, width), "f4")
+            held[rows[here], at[here] - first] = 1
+            of.append(held)
+        common += of[0] @ of[1].T
+    linked = 100 * common >= SIMILAR * (n[:, None] + m[None, :] - common)
+    i, j = np.nonzero(linked & (p_root[:, None] != q_root[None, :]))
+    return pa.table({"a": np.minimum(p[i], q[j]), "b": np.maximum(p[i], q[j])})
+
+
+def _compared_further(core: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node)``: the smallest set of each group, and those not joined to their group's.
+
+    Take linked x and y without a common rare shingle. The smallest set of y's group is no larger
+    than y and has the same frequent shingles, so it links with x too; likewise for y and x. So
+    each of the two is joined to its group's smallest set or compared here, and is linked with
+    the other or with the other's smallest set, or those two are linked.
+    """
+    stars = core.where("rep <> node AND root <> rep_root")
+    pairs = stars.select("node", *_ordered(F.col("rep"), F.col("node")))
+    loose = pairs.join(links, ["a", "b"], "left_anti").select("node")
+    return core.where("rep = node").select("node").unionByName(loose)
+
+
+def _between_cores(large: DataFrame, chosen: DataFrame, sets: DataFrame, tables: Tables) -> DataFrame:
+    """Links between the ``chosen`` nodes of large buckets, as a written table.
+
+    These are sets of one family, nearly all frequent shingles and each a little different, in
+    components that one comparison with the family's centre has not joined. Whether they link
+    only their full sets tell. A family, what shares large buckets, is cut into blocks, and a
+    task compares two blocks as matrices of set bits: it holds no more than these and sends
+    links only.
+    """
+    reps = tables.cut(large.join(chosen, "node", "left_semi"), "reps")
+    hubs = reps.groupBy("bucket").agg(F.min("node").alias("b"))
+    family = components(reps.join(hubs, "bucket").select(F.col("node").alias("a"), "b"), tables)
+    several = reps.select("node", "root").distinct().join(family.withColumnRenamed("root", "family"), "node")
+    # A family within one component has nothing left to compare.
+    sizes = several.groupBy("family").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("_lo"), F.max("root").alias("_hi")
+    )
+    sizes = sizes.where("_lo < _hi").select("family", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    placed = several.join(sizes, "family").withColumn("own", F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)"))
+    members = tables.cut(placed.join(sets, "node"), "families")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    spread = members.select("family", "node", "root", "shingles", "own", every.alias("with"))
+    one = spread.where("own <= with").select("family", F.col("own").alias("x"), F.col("with").alias("y"), "node", "root", "shingles")
+    other = spread.where("with <= own").select("family", F.col("with").alias("x"), F.col("own").alias("y"), "node", "root", "shingles")
+    keys = ["family", "x", "y"]
+    found = one.groupBy(*keys).cogroup(other.groupBy(*keys)).applyInArrow(_linked_blocks, "a bigint, b bigint")
+    links = tables.cut(found.distinct(), "links")
+    tables.drop(family, members, reps)
+    return links
+
+
 def _by_shingles(
     large: DataFrame, classes: DataFrame, sets: DataFrame, tables: Tables
 ) -> tuple[DataFrame, DataFrame]:
@@ -363,7 +434,7 @@ def _by_shingles(
     sets whose rarest shingles reach into the frequent ones, the ``core``: without a common
     rare shingle two of them have exactly their frequent shingles in common. With equal
     frequent shingles the smallest set is the most similar to every other, so each is compared
-    with that one, and of two groups first their smallest.
+    with that one (and see ``_compared_further``).
 
     Gives the rare pairs and ``(node, root, rep, rep_root)`` of the core.
     """
