@@ -82,6 +82,24 @@ def test_encoder_equals_tokenizer():
             assert np.frombuffer(ids, "<u4").tolist() == plain_ids(tokenizer, text)[:-1], text
 
 
+def test_other_tokenizers_are_used_whole():
+    definition = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    encoder, text = packing.Encoder(definition), "Hello  world, it's two  blanks.\n"
+    plain = Tokenizer.from_str(definition).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == plain
+
+
+def test_known_parts_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_PARTS", 30)
+    tokenizer, encoder = Tokenizer.from_file(PATH), packing.Encoder(DEFINITION)
+    rng = random.Random(3)
+    for _ in range(40):
+        texts = [" ".join(f"w{chr(97 + rng.randrange(26))}{rng.choice(['x,', 'É.', 'yz', '9'])}" for _ in range(20))]
+        got = np.frombuffer(encoder.encode(texts)[0], "<u4").tolist()
+        assert got == plain_ids(tokenizer, texts[0])[:-1]
+    assert len(encoder.known) + len(encoder.older) < 400
+
+
 def test_pack_table(spark):
     rows = [(i, "word " * n) for i, n in enumerate([0, 1, 5, 9_000, 4_095, 4_096, 30, 30, 2_000, 2_095])]
     rows += [(7, rows[7][1]), (None, "null id"), (50, None), (51, "É " * 9)]

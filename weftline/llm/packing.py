@@ -10,7 +10,7 @@ steps depend on the lengths that occur, not on the number of documents.
 What is done per piece is distributed: tokenising (which writes the pieces, each numbered among
 its task's pieces of its length), adding the counts of earlier tasks, and looking up its step.
 
-Tokens are those of the given tokenizer, then one end token per document. As its pre-tokens
+Tokens are those of the given tokenizer, then one end token per document. Where its pre-tokens
 never hold white space, a text's tokens are those of its parts between white space, and known
 parts are taken from a bounded table kept by each worker.
 
@@ -21,6 +21,7 @@ table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+import json
 from collections import deque
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -45,58 +46,75 @@ _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 # Letters below this have one-letter lower case and no combining marks.
 _PLAIN = "İ"
 
+# The steps of a tokenizer whose text parts can be encoded one by one.
+_BY_PARTS = [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]
+
+
+def _steps(stage: dict | None, inner: str) -> list[str]:
+    if stage is None:
+        return []
+    return [x["type"] for x in stage.get(inner, [stage])]
+
+
+def _byte_letters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: itself if printable."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
 
 class Encoder:
-    """Token ids of texts, by parts between white space."""
+    """Token ids of texts, by parts between white space.
+
+    Splitting at white space is right for tokenizers that drop it, lower-case, and part letters
+    from the rest (the kinds named in ``_BY_PARTS``); with any other, texts are encoded whole.
+    """
 
     def __init__(self, definition: str) -> None:
         self.tokenizer = Tokenizer.from_str(definition)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.closes[i] = token.endswith("</w>")
+        parsed = json.loads(definition)
+        steps = [_steps(parsed["normalizer"], "normalizers"), _steps(parsed["pre_tokenizer"], "pretokenizers")]
+        self.by_parts = steps == _BY_PARTS and parsed["model"]["type"] == "BPE"
+        self.letters = dict(enumerate(_byte_letters()))
+        # Two generations of known parts: a full one becomes the older, which is then replaced.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """A word of plain letters is one pre-token, which the model takes as it is."""
+        shown = word.lower().encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(shown)])
+
     def _learn(self, parts: set[str]) -> None:
-        known, plain = self.known, set()
+        known, older = self.known, self.older
         for part in parts:
             stem = part.rstrip(".,")
-            if stem and stem not in known and stem.isalpha() and max(stem) < _PLAIN:
-                plain.add(stem)
-        # Words of letters are one pre-token each, so many are encoded as one text and told
-        # apart by the tokens that close a word.
-        if plain:
-            stems = list(plain)
-            ids = np.array(self.tokenizer.encode(" ".join(stems), add_special_tokens=False).ids, "<u4")
-            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
-            raw = ids.tobytes()
-            if len(ends) == len(stems):
-                starts = [0, *ends[:-1].tolist()]
-                known.update(zip(stems, [raw[a:b] for a, b in zip(starts, ends.tolist(), strict=True)], strict=True))
-        for part in parts:
-            if part in known:
+            ids = known.get(stem) or older.get(stem)
+            if ids is None and stem.isalpha() and max(stem) < _PLAIN:
+                ids = self._word(stem)
+            if ids is None or not stem.isalpha():
+                known[part] = self._encode(part)
                 continue
-            stem = part.rstrip(".,")
-            tail = part[len(stem) :]
-            if stem and tail and stem in known and stem.isalpha():
+            known[stem] = ids
+            if tail := part[len(stem) :]:
                 if tail not in known:
                     known[tail] = self._encode(tail)
-                known[part] = known[stem] + known[tail]
-            else:
-                known[part] = self._encode(part)
+                known[part] = ids + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_parts:
+            return [self._encode(t) for t in texts]
         split = [None if any(c in t for c in _ODD) else t.split() for t in texts]
-        known = self.known
+        if len(self.known) > KNOWN_PARTS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         new = {p for parts in split if parts for p in parts if p not in known}
-        if len(known) + 2 * len(new) > KNOWN_PARTS:
-            known.clear()
-            new = {p for parts in split if parts for p in parts}
         if new:
-            self._learn(new)
+            known.update((p, older[p]) for p in new if p in older)
+            self._learn({p for p in new if p not in known})
         return [
             self._encode(t) if parts is None else b"".join(map(known.__getitem__, parts))
             for t, parts in zip(texts, split, strict=True)
