@@ -58,3 +58,77 @@ def test_against_sets(spark):
         found = None if r["r"] is None or r["r"]["license"] is None else tuple(r["r"])
         assert found == expected, rows[r["doc_id"]][1]
     assert docs.limit(0).select(licenses.scan(spark)(F.col("text"))).count() == 0
+
+
+def wrapped(text, columns=76):
+    lines, line = [], ""
+    for w in text.split():
+        if line and len(line) + 1 + len(w) > columns:
+            lines.append(line)
+            line = ""
+        line = f"{line} {w}".strip()
+    return [*lines, line]
+
+
+def found_passages(spark, texts, *listed):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = docs.select("doc_id", licenses.passages(spark, *listed)(F.col("text")).alias("r")).collect()
+    return [r["r"] for r in sorted(got, key=lambda r: r["doc_id"])]
+
+
+def brute_runs(text, listed):
+    """Per licence the best run's coefficient; and the first of all licences."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    best = {}
+    for k, (name, template) in enumerate(sorted(listed)):
+        b = bigrams(template)
+        for i in range(len(w) - 1):
+            run, common = set(), 0
+            for j in range(i + 1, len(w)):
+                if (g := (w[j - 1], w[j])) not in run:
+                    run.add(g)
+                    common += g in b
+                dice = 2 * common / (len(run) + len(b))
+                if dice >= licenses.THRESHOLD:
+                    best[name] = min(best.get(name, (0,)), (-dice, -len(b), j, k))
+    return {name: -x[0] for name, x in best.items()}, min(best, key=best.get, default=None)
+
+
+def test_passages_against_every_run(spark):
+    rng = random.Random(4)
+    cases = [t for t in texts() if t is None or len(t.split()) < 130][:90]
+    for name, text in licenses.TEMPLATES * 2:
+        w = text.split()[:50]
+        for _ in range(rng.randrange(1 + len(w) // 4)):
+            w.insert(rng.randrange(len(w)), rng.choice(["x", "the license", "under the", *w]))
+        cases.append(" ".join(["under the", *w, "permission is", *w[: rng.randrange(len(w))], "end"]))
+    got = found_passages(spark, cases)
+    assert any(r and r["others"] for r in got)
+    for text, r in zip(cases, got, strict=True):
+        best, first = brute_runs(text, licenses.TEMPLATES)
+        found = [] if r is None else [r, *r["others"]]
+        assert {x["license"]: x["dice"] for x in found} == best, text
+        assert (r and r["license"]) == first, text
+
+
+def test_notices_wrapped_or_inside_a_line(spark):
+    rng = random.Random(5)
+
+    def filler():
+        return [" ".join(f"w{rng.randrange(3000)}" for _ in range(9)) for _ in range(30)]
+
+    cases = []
+    for sign in ("", "# ", " * "):
+        for name, text in licenses.TEMPLATES:
+            lines = [sign + x for x in wrapped(text)]
+            cases.append((name, "\n".join([*filler(), *lines, *filler()]), 30, 29 + len(lines)))
+    inline = "Copyright 2021 Jane Doe and contributors. Released under the MIT License. All rights reserved worldwide."
+    cases += [("MIT", inline, 0, 0), (None, "\n".join(filler() * 20), None, None)]
+    cases.append(("MIT", "\n".join([f"{licenses.TEMPLATES[11][1]}\n"] * 300), 0, 0))
+    for (name, text, line, last), r in zip(cases, found_passages(spark, [c[1] for c in cases]), strict=True):
+        if name is None:
+            assert r is None
+        else:
+            assert (r["license"], r["dice"], r["line"], r["last_line"]) == (name, 1.0, line, last), text
+    lost = [brute(text, licenses.TEMPLATES) for _, text, _, _ in cases[:15]]
+    assert lost.count(None) > 5

@@ -7,9 +7,18 @@ unless the sizes a, b satisfy min(a, b) / max(a, b) >= t / (2 - t), so each unit
 only with templates within these bounds, and only if it has a bigram of theirs. Templates are
 a fixed list, sent to every task; texts never leave theirs.
 
+``passages`` compares every run of words instead, so that a notice counts wherever it stands:
+wrapped over lines, behind comment signs, inside a sentence. It is exact. A run of a distinct
+bigrams, c of them the template's b, reaches t only if c >= t b / (2 - t) and a - c <= (2 / t - 2) b;
+so a text that has too few of a template's bigrams is left out, and what is left is cut where more
+foreign bigrams than that lie between two of the template's. In a piece, the runs that end at a word
+have as many different sets as bigrams in order of their last place, so one sum along that
+order compares them all. A piece costs its words times the template's size.
+
 Defined results: null texts and texts without words have no licence; units of one word have no
 bigrams and are never matched; the highest coefficient wins, then the earlier unit (the whole
-document last), then the template's name; repeated rows are scanned each; an empty table gives
+document last), then the template's name; of runs equally alike that of the larger template wins,
+then the one that ends first and is shortest; repeated rows are scanned each; an empty table gives
 an empty table; other columns are not read.
 """
 
@@ -161,6 +170,148 @@ def _matches(block: Block, known: Templates, threshold: float):
     return row[keep], template[keep], dice[keep]
 
 
+class Run(NamedTuple):
+    """The bigrams ``first`` to ``last`` of a text, and how alike they are to a template."""
+
+    dice: float
+    first: int
+    last: int
+
+
+def _best_run(hashes: np.ndarray, hits: np.ndarray, size: int, threshold: float) -> Run | None:
+    """The run of ``hashes`` most like a template of ``size`` bigrams that occur at ``hits``."""
+    least = threshold / (2 - threshold) * size - 1e-9
+    foreign = (2 / threshold - 2) * size + 1e-9
+    wide = np.flatnonzero(np.diff(hits) - 1 > foreign)
+    apart = [k + 1 for k in wide.tolist() if len(np.unique(hashes[hits[k] + 1 : hits[k + 1]])) > foreign]
+    best = None
+    for piece in np.split(hits, apart):
+        if len(piece) < least:
+            continue
+        first, last = int(piece[0]), int(piece[-1]) + 1
+        distinct, ids = np.unique(hashes[first:last], return_inverse=True)
+        member = np.zeros(len(distinct), bool)
+        member[ids[piece - first]] = True
+        if member.sum() >= least:
+            best = _sweep(ids, member, size, threshold, first, best)
+    return best
+
+
+def _sweep(
+    ids: np.ndarray, member: np.ndarray, size: int, threshold: float, first: int, best: Run | None
+) -> Run | None:
+    """The better of ``best`` and the best run of a piece whose first bigram is number ``first``."""
+    most = int(size * (2 - threshold) / threshold + 1e-9)
+    # Bigrams in order of their last place, the latest last: from lo to hi.
+    order, place = np.empty(2 * most + 2, "i8"), np.empty(2 * most + 2, "i8")
+    lo = hi = held = 0
+    present = bytearray(len(member))
+    sizes = np.arange(1, most + 1) + size
+    is_member = member.tolist()
+    for at, g in enumerate(ids.tolist()):
+        if present[g]:
+            k = lo + int(np.flatnonzero(order[lo:hi] == g)[0])
+            order[k : hi - 1] = order[k + 1 : hi].copy()
+            place[k : hi - 1] = place[k + 1 : hi].copy()
+            hi -= 1
+        else:
+            present[g] = 1
+            held += is_member[g]
+        if hi == len(order):
+            order[: hi - lo], place[: hi - lo] = order[lo:hi].copy(), place[lo:hi].copy()
+            lo, hi = 0, hi - lo
+        order[hi], place[hi] = g, at
+        hi += 1
+        if hi - lo > most:
+            present[order[lo]] = 0
+            held -= is_member[order[lo]]
+            lo += 1
+        bound = 2 * held / (held + size)
+        if not is_member[g] or bound < threshold or (best is not None and bound <= best.dice):
+            continue
+        dice = 2 * np.cumsum(member[order[lo:hi][::-1]]) / sizes[: hi - lo]
+        k = int(np.argmax(dice))
+        if dice[k] >= threshold and (best is None or dice[k] > best.dice):
+            best = Run(float(dice[k]), first + int(place[hi - 1 - k]), first + at)
+    return best
+
+
+def _runs(block: Block, known: Templates, threshold: float):
+    """(row, template, dice, line of the first word, line of the last) of every template that
+    some run of words in a row reaches the threshold for."""
+    found = words(block, LETTERS_DIGITS)
+    hashes, inside = grams(found, 2)
+    rows = found.rows[: len(hashes)]
+    low = np.searchsorted(known.bigrams, hashes, side="left")
+    n = np.searchsorted(known.bigrams, hashes, side="right") - low
+    hits = np.flatnonzero((n > 0) & inside)
+    low, n, of = low[hits], n[hits], rows[hits]
+    # Per row the first place of each bigram, so that repeated ones count once.
+    order = np.lexsort((hits, hashes[hits], of))
+    fresh = np.ones(len(hits), bool)
+    fresh[order[1:]] = (of[order[1:]] != of[order[:-1]]) | (hashes[hits[order[1:]]] != hashes[hits[order[:-1]]])
+    # One entry per template that holds the bigram.
+    at = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    kinds = len(known.sizes)
+    pairs = np.repeat(of, n) * kinds + known.owners[at]
+    places = np.repeat(hits, n)
+    common = np.bincount(pairs[np.repeat(fresh, n)], minlength=block.rows * kinds)
+    ratio = threshold / (2 - threshold)
+    enough = common >= np.tile(np.maximum(ratio * known.sizes - 1e-9, 1), block.rows)
+    taken = enough[pairs]
+    pairs, places = pairs[taken], places[taken]
+    order = np.argsort(pairs, kind="stable")
+    pairs, places = pairs[order], places[order]
+    for pair in np.flatnonzero(enough).tolist():
+        row, template = divmod(pair, kinds)
+        base = found.bounds[row]
+        here = places[np.searchsorted(pairs, pair) : np.searchsorted(pairs, pair, side="right")] - base
+        run = _best_run(
+            hashes[base : found.bounds[row + 1] - 1], here, int(known.sizes[template]), threshold
+        )
+        if run is not None:
+            begin = block.offsets[row]
+            lines = [
+                int(np.count_nonzero(block.data[begin : found.starts[base + word]] == 10))
+                for word in (run.first, run.last + 1)
+            ]
+            yield row, template, run, *lines
+
+
+_PASSAGE = [("license", pa.string()), ("dice", pa.float64()), ("line", pa.int64()), ("last_line", pa.int64())]
+
+
+def passages(
+    spark, listed: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD
+) -> Callable[[Column], Column]:
+    """A column function from text to ``struct<license, dice, line, last_line, others>``, null for none.
+
+    The licence of the run of words most like a template, and the lines, from 0, where the run
+    begins and ends; ``others`` holds the best run of each other licence, the most alike first.
+    """
+    sent = spark.sparkContext.broadcast(templates(listed))
+    passage = "license: string, dice: double, line: bigint, last_line: bigint"
+
+    @F.arrow_udf(f"struct<{passage}, others: array<struct<{passage}>>>")
+    def found(texts: pa.Array) -> pa.Array:
+        known = sent.value
+        out: list[dict | None] = []
+        for block in blocks(texts):
+            of: list[list] = [[] for _ in range(block.rows)]
+            for row, template, run, line, last_line in _runs(block, known, threshold):
+                of[row].append((-run.dice, -known.sizes[template], run.last, template, line, last_line))
+            for runs in of:
+                best: dict[str, dict] = {}
+                for less, _, _, template, line, last_line in sorted(runs):
+                    name = known.names[template]
+                    best.setdefault(name, {"license": name, "dice": -less, "line": line, "last_line": last_line})
+                first, *others = best.values() or [None]
+                out.append(first and first | {"others": others})
+        return pa.array(out, pa.struct([*_PASSAGE, ("others", pa.list_(pa.struct(_PASSAGE)))]))
+
+    return lambda text: found(F.coalesce(text, F.lit("")))
+
+
 def scan(spark, listed: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> Callable[[Column], Column]:
     """A column function from text to ``struct<license, dice, line>``, null for none.
 

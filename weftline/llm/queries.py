@@ -38,6 +38,12 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "found.license", "found.dice", "found.line")
 
 
+def op2_license_passages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", licenses.passages(spark)(F.col("text")).alias("found"))
+    return found.select("doc_id", *[f"found.{c}" for c in ("license", "dice", "line", "last_line", "others")])
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     sharded = sharding.shard_documents(table(spark, folder, "documents"), SHARDS)
     return sharded.select(
@@ -109,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality_rules,
         op2_license_scan,
+        op2_license_passages,
         op3_sharding,
         op4_cotraining,
         op5_near_dup,
