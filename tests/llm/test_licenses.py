@@ -102,7 +102,7 @@ def test_passages_against_every_run(spark):
         for _ in range(rng.randrange(1 + len(w) // 4)):
             w.insert(rng.randrange(len(w)), rng.choice(["x", "the license", "under the", *w]))
         cases.append(" ".join(["under the", *w, "permission is", *w[: rng.randrange(len(w))], "end"]))
-    got = found_passages(spark, cases)
+    got = found_passages(spark, cases, licenses.TEMPLATES)
     assert any(r and r["others"] for r in got)
     for text, r in zip(cases, got, strict=True):
         best, first = brute_runs(text, licenses.TEMPLATES)
@@ -132,3 +132,22 @@ def test_notices_wrapped_or_inside_a_line(spark):
             assert (r["license"], r["dice"], r["line"], r["last_line"]) == (name, 1.0, line, last), text
     lost = [brute(text, licenses.TEMPLATES) for _, text, _, _ in cases[:15]]
     assert lost.count(None) > 5
+
+
+def test_whole_texts(spark):
+    rng = random.Random(6)
+    listed = (*licenses.NOTICES, *licenses.whole_texts())
+    names = {name for name, _ in listed}
+    assert {"AGPL-3.0", "Apache-2.0", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"} <= names
+    changed = []
+    for name, text in listed:
+        w = text.split()
+        for _ in range(len(w) // 40):
+            w[rng.randrange(len(w))] = "changed"
+        changed.append((name, " ".join(w)))
+    for share, cases in ((1.0, listed), (0.9, changed)):
+        docs = ["\n".join(["Some words before.", *wrapped(text, 80), "And some after."]) for _, text in cases]
+        for (name, _), r in zip(cases, found_passages(spark, docs), strict=True):
+            assert r["license"] == name and r["dice"] >= share, (name, r)
+    lost = [brute(text, licenses.TEMPLATES) for _, text in licenses.whole_texts()]
+    assert lost.count(None) > 10

@@ -18,13 +18,15 @@ order compares them all. A piece costs its words times the template's size.
 Defined results: null texts and texts without words have no licence; units of one word have no
 bigrams and are never matched; the highest coefficient wins, then the earlier unit (the whole
 document last), then the template's name; of runs equally alike that of the larger template wins,
-then the one that ends first and is shortest; repeated rows are scanned each; an empty table gives
+then the one that ends first and is shortest, but a run inside that of another licence's template
+twice as large comes after it; repeated rows are scanned each; an empty table gives
 an empty table; other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -102,6 +104,39 @@ TEMPLATES = (
     ),
 )
 
+# Notices of licences that the list above does not name.
+NOTICES = (
+    (
+        "AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU Affero General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of"
+        " the GNU Lesser General Public License as published by the Free Software Foundation; either"
+        " version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0-or-later",
+        "This library is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU Lesser General Public License as published by the Free Software Foundation, either"
+        " version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "CC0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or"
+        " neighboring rights to this work.",
+    ),
+)
+
+
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """(name, text) of the licences in ``license_texts``, read by the driver."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return tuple((f.name.removesuffix(".txt"), f.read_text(encoding="utf-8")) for f in files)
+
 
 def _bigrams(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, bigram) pairs, in order of row."""
@@ -278,17 +313,39 @@ def _runs(block: Block, known: Templates, threshold: float):
             yield row, template, run, *lines
 
 
+def _ranked(runs: list[tuple], known: Templates) -> list[tuple]:
+    """The runs of a text, best first; those that are a small part of another licence's at the end.
+
+    The text of the GPL ends with the notice to use: there it names the GPL, not the notice.
+    """
+
+    names, sizes = known.names, known.sizes
+
+    def rank(found: tuple) -> tuple:
+        run, template, *_ = found
+        part = any(
+            other.first <= run.first and run.last <= other.last and 2 * sizes[template] <= sizes[k]
+            and names[template] != names[k]
+            for other, k, *_ in runs
+        )
+        return part, -run.dice, -sizes[template], run.last, template
+
+    return sorted(runs, key=rank)
+
+
 _PASSAGE = [("license", pa.string()), ("dice", pa.float64()), ("line", pa.int64()), ("last_line", pa.int64())]
 
 
 def passages(
-    spark, listed: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD
+    spark, listed: tuple[tuple[str, str], ...] | None = None, threshold: float = THRESHOLD
 ) -> Callable[[Column], Column]:
     """A column function from text to ``struct<license, dice, line, last_line, others>``, null for none.
 
     The licence of the run of words most like a template, and the lines, from 0, where the run
     begins and ends; ``others`` holds the best run of each other licence, the most alike first.
+    Without ``listed`` templates are ``TEMPLATES``, ``NOTICES`` and the whole texts.
     """
+    listed = (*TEMPLATES, *NOTICES, *whole_texts()) if listed is None else listed
     sent = spark.sparkContext.broadcast(templates(listed))
     passage = "license: string, dice: double, line: bigint, last_line: bigint"
 
@@ -299,12 +356,12 @@ def passages(
         for block in blocks(texts):
             of: list[list] = [[] for _ in range(block.rows)]
             for row, template, run, line, last_line in _runs(block, known, threshold):
-                of[row].append((-run.dice, -known.sizes[template], run.last, template, line, last_line))
+                of[row].append((run, template, line, last_line))
             for runs in of:
                 best: dict[str, dict] = {}
-                for less, _, _, template, line, last_line in sorted(runs):
+                for run, template, line, last_line in _ranked(runs, known):
                     name = known.names[template]
-                    best.setdefault(name, {"license": name, "dice": -less, "line": line, "last_line": last_line})
+                    best.setdefault(name, {"license": name, "dice": run.dice, "line": line, "last_line": last_line})
                 first, *others = best.values() or [None]
                 out.append(first and first | {"others": others})
         return pa.array(out, pa.struct([*_PASSAGE, ("others", pa.list_(pa.struct(_PASSAGE)))]))
