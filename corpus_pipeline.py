@@ -25,7 +25,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"), together=True)
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

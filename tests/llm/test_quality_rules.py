@@ -101,3 +101,38 @@ def test_judge_and_keep(spark):
     )
     assert quality_rules.judge(docs.limit(0), marks).count() == 0
     assert quality_rules.judge(docs, marks.limit(0)).where("NOT base_failed AND NOT kept").count() == 0
+
+
+def test_certified_together(spark):
+    def document(k, mark):
+        w = [f"w{k}x{j}" for j in range(60)]
+        return " ".join([w[0] + mark * 200, *w[1:]])
+
+    # Two rules that each reject 1.5 % of the good documents, and others.
+    rows, labels = [], []
+    for i in range(4000):
+        good = i < 2000
+        mark = "" if good and i % 200 >= 6 else "#" if i % 2 else "A"
+        rows.append((i, document(i, mark), "en"))
+        labels.append((i, int(good)))
+    # The good texts of another stratum: 470 others, 30 that the rule rejects, 2,000 copies of one.
+    for i in range(4000, 8000):
+        good = i < 6500
+        k, mark = (4000, "") if i < 6000 else (i, "#" if i < 6030 or not good else "")
+        rows.append((i, document(k, mark), "fr"))
+        labels.append((i, int(good)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    good = {i for i, mark in labels if mark}
+
+    def lost(**how):
+        kept = {r["doc_id"] for r in quality_rules.keep_good(docs, marks, **how).select("doc_id").collect()}
+        return [
+            len({t for i, t, s in rows if s == stratum and i in good - kept})
+            / len({t for i, t, s in rows if s == stratum and i in good})
+            for stratum in ("en", "fr")
+        ]
+
+    each, together = lost(), lost(together=True)
+    assert min(each) > quality_rules.ALPHA
+    assert together == [0, 0]

@@ -10,6 +10,11 @@ probability 1 - DELTA no stratum then loses more than ``ALPHA`` of its good docu
 rule. Among certified cutoffs the one with the best gain is used: share of bad documents
 rejected less ``PENALTY`` times the share of good ones, the mildest on ties, none if no gain.
 
+A document goes if any rule fires, so up to ``len(RULES) * ALPHA`` of a stratum's good documents may
+go in all, and copies of one labelled text count as so many draws. ``together`` certifies the
+verdict instead: each rule at ``ALPHA / len(RULES)``, so that all rules lose no more than ``ALPHA``,
+and one draw per stratum and distinct text; texts whose copies' labels disagree are ignored.
+
 All of it is DataFrame expressions: one pass measures the documents, labels meet a narrow table
 of shares, and the shuffle carries one row per stratum, label and task.
 
@@ -162,11 +167,12 @@ def clean_labels(labels: DataFrame, label: str = "quality") -> DataFrame:
     return agreed.where("_lo = _hi").select("_doc", (F.col("_lo") == 1).alias("good"))
 
 
-def certify(shares: DataFrame) -> DataFrame:
+def certify(shares: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """``(stratum, symbols, upper, lines, repeats)``: the cutoff in use, NULL for none.
 
     ``shares`` is ``(stratum, good, symbols, upper, lines, repeats)``, one row per labelled
-    document. Counts per cutoff are sums in one grouping, combined before the shuffle.
+    document. Counts per cutoff are sums in one grouping, combined before the shuffle. No rule
+    loses more than ``alpha``.
     """
     above = [
         F.sum(F.when(F.col(r) > c, 1).otherwise(0)).alias(f"{r}_{i}")
@@ -202,7 +208,7 @@ def certify(shares: DataFrame) -> DataFrame:
     strata = F.max("_rank").over(Window.partitionBy("rule"))
     grid = grid.withColumn("_rank", F.dense_rank().over(Window.partitionBy("rule").orderBy("stratum")))
     level = DELTA / (len(RULES) * strata)
-    tested = grid.withColumn("_ok", binomial_tail(F.col("lost"), F.col("good"), ALPHA) <= level)
+    tested = grid.withColumn("_ok", binomial_tail(F.col("lost"), F.col("good"), alpha) <= level)
     certified = tested.withColumn("_all", F.min("_ok").over(walk)).where("_all")
     gain = F.try_divide("caught", "bad") - PENALTY * F.col("lost") / F.col("good")
     best = (
@@ -231,15 +237,26 @@ def _verdict(rows: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
     return joined.withColumn("kept", faults == 0).drop("_stratum", "_limits")
 
 
-def learn_cutoffs(measures: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
-    """The certified cutoffs, as a written table, from ``(doc_id, stratum, measures)``."""
+def learn_cutoffs(
+    measures: DataFrame, labels: DataFrame, tables: Tables, together: bool = False
+) -> DataFrame:
+    """The certified cutoffs, as a written table, from ``(doc_id, stratum, measures)``.
+
+    ``together`` needs the texts' hashes too, as ``mark``.
+    """
     labelled = measures.join(clean_labels(labels), F.col("doc_id") == F.col("_doc"))
-    shares = labelled.select("stratum", "good", *[F.col("measures")[r].alias(r) for r in RULES])
-    return tables.cut(certify(shares), "cutoffs")
+    of_rules = [F.col("measures")[r].alias(r) for r in RULES]
+    if not together:
+        return tables.cut(certify(labelled.select("stratum", "good", *of_rules)), "cutoffs")
+    draws = labelled.select("stratum", "mark", "good", *of_rules).groupBy("stratum", "mark").agg(
+        F.min("good").alias("good"), F.max("good").alias("_hi"), *[F.max(r).alias(r) for r in RULES]
+    )
+    draws = draws.where("good = _hi").select("stratum", "good", *RULES)
+    return tables.cut(certify(draws, ALPHA / len(RULES)), "cutoffs")
 
 
-def _measures(docs: DataFrame, stratum: str) -> DataFrame:
-    narrow = docs.select("doc_id", F.col(stratum).alias("stratum"), "text")
+def _measures(docs: DataFrame, stratum: str, *marks: Column) -> DataFrame:
+    narrow = docs.select("doc_id", F.col(stratum).alias("stratum"), *marks, "text")
     return measured(narrow).drop("text")
 
 
@@ -254,15 +271,18 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFram
     return _verdict(measures, cutoffs, "stratum").withColumn("base_failed", base_failed())
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+def keep_good(
+    docs: DataFrame, labels: DataFrame, stratum: str = "lang", together: bool = False
+) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns as they came.
 
     Rows need no identity for this: cutoffs are learned from a narrow pass, then each row is
     judged where it is read, so texts are never shuffled.
     """
     tables = Tables(docs.sparkSession)
-    measures = tables.cut(_measures(docs, stratum), "measures")
-    cutoffs = learn_cutoffs(measures, labels, tables)
+    marks = [F.xxhash64("text").alias("mark")] if together else []
+    measures = tables.cut(_measures(docs, stratum, *marks), "measures")
+    cutoffs = learn_cutoffs(measures, labels, tables, together)
     tables.drop(measures)
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
