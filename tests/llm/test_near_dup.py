@@ -185,3 +185,18 @@ def test_components_of_chains_and_stars(spark):
         ra, rb = find(a), find(b)
         parent[max(ra, rb)] = min(ra, rb)
     assert got == {x: find(x) for e in edges for x in e if len(set(e)) > 1 or x in got}
+
+
+def test_small_sets_need_no_estimate():
+    rng, n = np.random.default_rng(0), 2000
+    larger = rng.integers(0, 2**63, size=(n, 4), dtype="u8")
+    smaller = np.sort(larger[:, :3], axis=1)
+    sets = [near_dup.Sets(x.reshape(-1), np.arange(n + 1) * x.shape[1]) for x in (np.sort(larger, axis=1), smaller)]
+    a, b = (near_dup.sketches(s) for s in sets)
+    sizes = [np.full(n, 4), np.full(n, 3)]
+    low = near_dup.estimate(a, b, *sizes) < near_dup.SIMILAR / 100 - near_dup.MARGIN
+    assert (low & (near_dup.band_keys(a) == near_dup.band_keys(b)).any(axis=1)).any()
+    columns = {"a": np.arange(n), "b": np.arange(n) + n, "n_a": sizes[0], "n_b": sizes[1]}
+    columns |= {f"sketch_{k}": [x.tobytes() for x in codes] for k, codes in (("a", a), ("b", b))}
+    (kept,) = near_dup._promising(iter([pa.RecordBatch.from_pydict(columns)]))
+    assert kept.column("a").to_pylist() == list(range(n))

@@ -9,7 +9,9 @@ all documents, so small sets are sketched like large ones.
 Registers are banded five at a time, 51 bands; two sets of similarity 0.75 miss all bands with
 a chance of 1e-6. A band's members are candidates. Candidates pass the bound on sizes and the
 estimate from their registers, corrected for registers that agree by chance, which is let in
-from 0.15 (five standard deviations) below the threshold; then the full sets are compared.
+from 0.15 (five standard deviations) below the threshold; then the full sets are compared. A set
+of few shingles fills few registers and its estimate spreads further: pairs with a set of less
+than 32 are compared in full without it.
 
 Documents of equal sets are one class from the start. In a bucket of any size members are
 first compared with one of them only, the one that meets most others: what that joins needs no
@@ -48,6 +50,9 @@ BAND = 5
 BANDS = REGISTERS // BAND
 MARGIN = 0.15
 
+# Sets of fewer shingles than this are compared without an estimate.
+SMALL = 32
+
 # Members of a bucket, or of a shingle, that are few enough to be compared with each other.
 FEW = 16
 
@@ -207,7 +212,7 @@ def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(n_a):
             continue
         likeness = estimate(_stack(batch.column("sketch_a")), _stack(batch.column("sketch_b")), n_a, n_b)
-        keep = pa.array(likeness >= SIMILAR / 100 - MARGIN)
+        keep = pa.array((likeness >= SIMILAR / 100 - MARGIN) | (np.minimum(n_a, n_b) < SMALL))
         yield batch.select(["a", "b", "n_a", "n_b"]).filter(keep)
 
 
