@@ -200,3 +200,17 @@ def test_small_sets_need_no_estimate():
     columns |= {f"sketch_{k}": [x.tobytes() for x in codes] for k, codes in (("a", a), ("b", b))}
     (kept,) = near_dup._promising(iter([pa.RecordBatch.from_pydict(columns)]))
     assert kept.column("a").to_pylist() == list(range(n))
+
+
+def test_few_files_do_not_take_tasks_from_the_work(spark):
+    def parts(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()] * len(batch)})
+
+    tables = Tables(spark)
+    made = spark.range(1000, numPartitions=8).mapInArrow(parts, "part bigint")
+    written = tables.cut(made, "narrow", 1000)
+    assert len(written.inputFiles()) == 1
+    assert written.distinct().count() == 8

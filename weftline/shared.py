@@ -37,13 +37,15 @@ class Tables:
         self.spark = spark
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def cut(
-        self, df: DataFrame, label: str = "state", rows: int | None = None, per_file: int = ROWS_PER_FILE
-    ) -> DataFrame:
-        """Write ``df``. With an upper bound of its ``rows``, small tables are few files."""
+    def cut(self, df: DataFrame, label: str = "state", rows: int | None = None) -> DataFrame:
+        """Write ``df``. With an upper bound of its ``rows``, small tables are few files.
+
+        The rows are dealt to the files once they are made, so whatever makes them keeps its tasks;
+        for wide rows leave ``rows`` out.
+        """
         path = new_path(self.spark, label)
-        files = None if rows is None else max(1, math.ceil(rows / per_file))
-        (df if files is None else df.coalesce(files)).write.parquet(path)
+        files = None if rows is None else max(1, math.ceil(rows / ROWS_PER_FILE))
+        (df if files is None else df.repartition(files)).write.parquet(path)
         written = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(written)] = (written, path)
         return written
