@@ -187,6 +187,92 @@ def _license_scan() -> str:
     """
 
 
+def _conversation_repair() -> str:
+    """A walk over each conversation's rows, with the least (cost, audit, text) in every state."""
+    crc = """xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda x: ord(x)::BIGINT)),
+        lambda r, b: list_reduce(
+            list_prepend(xor(r, b), range(8)), lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))),
+        4294967295::BIGINT)"""
+
+    def step(state: str, role: str, edit: str, cost: str) -> str:
+        """A row that stays, from a state."""
+        text = "role || ':' || body" if edit == "K" else f"'{role}:' || body"
+        fits = f"initial = '{role[0]}'" if edit == "K" else "true"
+        return f"""CASE WHEN {state} IS NOT NULL AND fault NOT IN ('blank', 'duplicate') AND {fits} THEN
+            {{'c': {state}.c + {cost} + more, 'a': {state}.a || '{edit}', 't': {state}.t || chr(10) || {text}}} END"""
+
+    def dropped(state: str) -> str:
+        return f"""CASE WHEN {state} IS NOT NULL THEN
+            {{'c': {state}.c + 2, 'a': {state}.a || 'D', 't': {state}.t}} END"""
+
+    def put(state: str, role: str) -> str:
+        return f"""CASE WHEN {state} IS NOT NULL THEN
+            {{'c': {state}.c + 5, 'a': {state}.a || 'I', 't': {state}.t || chr(10) || '{role}:'}} END"""
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def stays(state: str, role: str) -> list[str]:
+        return [step(state, role, "K", "0"), step(state, role, "R", "1")]
+
+    return f"""
+    WITH RECURSIVE named AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS body,
+               coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+        FROM conversations),
+    kinds AS (SELECT * EXCLUDE (name), {crc} % 20 AS kind FROM named),
+    damaged AS (
+        SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(body, '.!?', '') ELSE body END AS body,
+               unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM kinds),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, body) AS pos,
+               left(role, 1) AS initial,
+               right(regexp_replace(body, '[\x20\x09-\x0D]+$', ''), 1) AS ending
+        FROM damaged),
+    judged AS (
+        SELECT *, CASE WHEN ending = '' THEN 'blank'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, body ORDER BY pos) > 1 THEN 'duplicate'
+                       WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+               lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS two
+        FROM placed),
+    rows AS (SELECT *, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more FROM judged),
+    faults AS (
+        SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM rows GROUP BY conv_id),
+    walk AS (
+        SELECT conv_id, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0,
+               CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS s1,
+               {{'c': 5::BIGINT, 'a': 'I', 't': chr(10) || 'user:'}} AS s2,
+               {{'c': 10::BIGINT, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS s3
+        FROM faults
+        UNION ALL
+        SELECT conv_id, pos, s0, s1, s2, {least("s3", put("s2", "assistant"))} AS s3 FROM (
+            SELECT conv_id, pos, s0, s1, s3,
+                   {least("s2", put("s0", "user"), put("s1", "user"), put("s3", "user"))} AS s2
+            FROM (
+                SELECT w.conv_id, r.pos, {dropped("s0")} AS s0,
+                       {least(step("s0", "system", "K", "0"), dropped("s1"))} AS s1,
+                       {least(*stays("s0", "user"), *stays("s1", "user"), *stays("s3", "user"), dropped("s2"))} AS s2,
+                       {least(*stays("s2", "assistant"), dropped("s3"))} AS s3
+                FROM walk w JOIN rows r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1))),
+    ends AS (
+        SELECT f.*, {least("s0", "s3")} AS best
+        FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.pos),
+    ids AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+           CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit,
+           sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+    FROM ids LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM ids.conv_id
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": _quality_rules(),
@@ -194,4 +280,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_dup": _NEAR_DUP,
         "op8_decontamination": _DECONTAMINATION,
         "op10_url_filter": _URL_FILTER,
+        "op12_conversation_repair": _conversation_repair(),
     }

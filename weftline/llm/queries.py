@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import (
+    conversation_repair,
     cotraining,
     decontamination,
     language_id,
@@ -111,6 +112,11 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(turns), turns)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality_rules,
@@ -124,5 +130,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_packing,
         op10_url_filter,
+        op12_conversation_repair,
     ]
     return {f.__name__: f for f in found}
