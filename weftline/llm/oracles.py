@@ -273,6 +273,47 @@ def _conversation_repair() -> str:
     """
 
 
+_PHRASES = f"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), {_LETTERS}) AS t FROM documents),
+    pieces AS (
+        SELECT row_number() OVER () AS pid, lang, w FROM (
+            SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+            FROM texts)),
+    places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+    runs AS (
+        SELECT lang, k, CASE k WHEN 1 THEN w[i] WHEN 2 THEN w[i] || ' ' || w[i + 1]
+                               ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS phrase
+        FROM places, (VALUES (1), (2), (3)) AS s(k) WHERE i + k - 1 <= len(w)),
+    counts AS (SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM runs GROUP BY ALL),
+    totals AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT * FROM counts WHERE k > 1 AND f >= 10),
+    held AS (
+        SELECT lang, phrase, max(f) AS most FROM (
+            SELECT lang, f, w[1] || ' ' || w[2] AS phrase FROM candidates WHERE k = 3
+            UNION ALL SELECT lang, f, w[2] || ' ' || w[3] FROM candidates WHERE k = 3)
+        GROUP BY ALL),
+    kept AS (
+        SELECT c.* FROM candidates c LEFT JOIN held h USING (lang, phrase)
+        WHERE h.most IS NULL OR 100 * h.most < 50 * c.f),
+    cuts AS (
+        SELECT lang, phrase, f AS a, cut, array_to_string(w[1:cut], ' ') AS head,
+               array_to_string(w[cut + 1:], ' ') AS tail
+        FROM kept, (VALUES (1), (2)) AS c(cut) WHERE cut < k),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+               CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+        FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head
+        JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+        QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+           phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+    FROM scored JOIN totals USING (lang)
+    QUALIFY rank <= 2000
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": _quality_rules(),
@@ -280,5 +321,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_dup": _NEAR_DUP,
         "op8_decontamination": _DECONTAMINATION,
         "op10_url_filter": _URL_FILTER,
+        "op11_phrases": _PHRASES,
         "op12_conversation_repair": _conversation_repair(),
     }

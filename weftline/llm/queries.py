@@ -16,7 +16,9 @@ from weftline.llm import (
     language_id,
     licenses,
     near_dup,
+    neighbours,
     packing,
+    phrases,
     quality_rules,
     sharding,
     toxicity,
@@ -112,11 +114,20 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.best_collocations(table(spark, folder, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations")
     return conversation_repair.repair(conversation_repair.damaged(turns), turns)
 
 
+def op13_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality_rules,
@@ -130,6 +141,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_packing,
         op10_url_filter,
+        op11_phrases,
         op12_conversation_repair,
+        op13_neighbours,
     ]
     return {f.__name__: f for f in found}
