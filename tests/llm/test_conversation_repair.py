@@ -94,7 +94,7 @@ def test_long_conversations_over_many_parts(spark):
 
 def test_chart_has_the_same_cell_at_every_cut():
     rng = random.Random(3)
-    rows = [c._row_cell(rng.choice("sua-"), rng.randrange(4)) for _ in range(9)]
+    rows = tuple((rng.choice("sua-"), rng.randrange(4)) for _ in range(9))
     whole = c.chart(rows)
     for k in range(1, 9):
         assert c.join(c.chart(rows[:k]), c.chart(rows[k:])) == whole

@@ -106,8 +106,8 @@ def _insertions() -> Cell:
 INSERTIONS = _insertions()
 
 
-@lru_cache(maxsize=64)
-def _row_cell(initial: str, fault: int) -> tuple:
+def row_cell(initial: str, fault: int) -> Cell:
+    """What a row alone can become, by its role's initial and its fault."""
     cell: Cell = [None] * 16
     more = TRUNCATED if fault == IS_TRUNCATED else 0
     for p in STATES:
@@ -121,13 +121,17 @@ def _row_cell(initial: str, fault: int) -> tuple:
                     options[q] = min(options.get(q, (REROLE + more, "R")), (REROLE + more, "R"))
         for q, edit in options.items():
             cell[4 * p + q] = edit
-    return tuple(join(join(INSERTIONS, cell), INSERTIONS))
+    return join(join(INSERTIONS, cell), INSERTIONS)
 
 
-def chart(rows: list[tuple]) -> Cell:
-    """The cell of a whole span, from the cells of its rows: all spans, by length, at all cuts."""
+@lru_cache(maxsize=1 << 14)
+def chart(rows: tuple[tuple[str, int], ...]) -> Cell:
+    """The cell of a whole span, from its rows: all spans, by length, at all cuts.
+
+    Rows of a block are told apart by initial and fault alone, so equal blocks have one chart.
+    """
     n = len(rows)
-    spans = {(i, i + 1): row for i, row in enumerate(rows)}
+    spans = {(i, i + 1): row_cell(*row) for i, row in enumerate(rows)}
     for length in range(2, n + 1):
         for i in range(n - length + 1):
             cell: Cell = [None] * 16
@@ -195,7 +199,7 @@ class _Run:
         self.illegal = 0
         self.first_turn = self.last_turn = None
         self.turns = 0
-        self.block: list[tuple] = []
+        self.block: list[tuple[str, int]] = []
         self.spans = Spans()
 
     def add(self, turn: int | None, initial: str, fault: int) -> None:
@@ -207,14 +211,14 @@ class _Run:
             self.first_turn = turn if self.first_turn is None else self.first_turn
             self.last_turn = turn
             self.turns += 1
-        self.block.append(_row_cell(initial, fault))
+        self.block.append((initial, fault))
         if len(self.block) == BLOCK:
-            self.spans.push(BLOCK, chart(self.block))
+            self.spans.push(BLOCK, chart(tuple(self.block)))
             self.block = []
 
     def row(self) -> dict:
         if self.block:
-            self.spans.push(len(self.block), chart(self.block))
+            self.spans.push(len(self.block), chart(tuple(self.block)))
         return {
             "key": self.key,
             "part": self.part,
@@ -402,8 +406,10 @@ class Repair:
             .otherwise(NO_FAULT)
         )
         judged = judged.select("key", "at", "turn", "initial", fault.alias("fault"))
-        # A part of the order, about as long as any other, goes whole to one task.
-        in_parts = judged.repartition(F.shiftright("at", _PART_BITS)).sortWithinPartitions("at")
+        # A part of the order, about as long as any other, goes whole to one task. Narrow rows with
+        # much work each: by number, so that adaptive execution leaves the tasks as many as they are.
+        tasks = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        in_parts = judged.repartition(tasks, F.shiftright("at", _PART_BITS)).sortWithinPartitions("at")
         runs = in_parts.mapInArrow(_runs, _RUN)
         together = runs.repartition("key").sortWithinPartitions("key", "first")
         self.parsed = self.tables.cut(together.mapInArrow(_conversations, _PARSED), "parsed")
