@@ -1,4 +1,4 @@
-"""Plays of items by users: alias resolution, the user-item matrix, similarity of two users.
+"""Plays of items by users: alias resolution, the user-item matrix, similarity of users.
 
 Plays are rows ``(user_id, item_id, cnt)`` plus the columns that give their order of arrival.
 """
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.lookup import lookup
+from weftline.operators.set_neighbours import similar_sets
 
 
 def resolve_aliases(plays: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -65,3 +66,21 @@ def user_similarity(matrix: DataFrame, user1: int, user2: int) -> DataFrame:
         F.try_divide(F.col("common").cast("double"), only_one).alias("ratio"),
         (F.col("common") / (F.col("n1") + F.col("n2") - F.col("common"))).alias("jaccard"),
     )
+
+
+def nearest_users(matrix: DataFrame, k: int) -> DataFrame:
+    """``(user_id, rank, other_id, common, ratio, jaccard)``: the k most similar users of each.
+
+    Only users with a common item count; ties go to the lowest id. ``ratio`` and ``jaccard`` give
+    the same order.
+    """
+    found = similar_sets(matrix.select(F.col("user_id").alias("member"), F.col("item_id").alias("element")), k)
+    only_one = F.col("n") + F.col("m") - 2 * F.col("common")
+    return found.select(
+        F.col("member").alias("user_id"),
+        "rank",
+        F.col("other").alias("other_id"),
+        "common",
+        F.try_divide(F.col("common").cast("double"), only_one).alias("ratio"),
+        (F.col("common") / (F.col("n") + F.col("m") - F.col("common"))).alias("jaccard"),
+    )

@@ -13,6 +13,7 @@ from weftline.plans.settings import (
     MATRIX_COLUMNS,
     MATRIX_ROWS,
     MODULUS,
+    NEAREST_USERS,
     RADIUS,
     ROUNDS,
     SAMPLE_FRACTION,
@@ -292,6 +293,19 @@ def oracle_sql() -> dict[str, str]:
                    round(common / nullif(n1 + n2 - 2 * common, 0), 6) AS ratio,
                    round(common / (n1 + n2 - common), 6) AS jaccard
             FROM c WHERE n1 > 0 AND n2 > 0""",
+        "user_neighbours": f"""
+            WITH m AS (SELECT DISTINCT user_id, item_id FROM ({RESOLVED})),
+            sizes AS (SELECT user_id, count(*) AS n FROM m GROUP BY user_id),
+            met AS (
+                SELECT a.user_id, b.user_id AS other_id, count(*) AS common
+                FROM m a JOIN m b ON a.item_id = b.item_id AND a.user_id <> b.user_id GROUP BY ALL),
+            measured AS (
+                SELECT met.*, x.n + y.n - common AS total, common / (x.n + y.n - common) AS jaccard
+                FROM met JOIN sizes x ON x.user_id = met.user_id JOIN sizes y ON y.user_id = other_id)
+            SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY measured.jaccard DESC, other_id) AS INTEGER) AS rank,
+                   other_id, common, round(common / nullif(total - common, 0), 6) AS ratio,
+                   round(jaccard, 6) AS jaccard
+            FROM measured QUALIFY rank <= {NEAREST_USERS}""",
         "matrix_rows": f"SELECT ri.pos AS pos, r, c, v FROM {ENTRIES} JOIN {ROWS_AT} USING (r)",
         "matrix_cols": f"SELECT ci.pos AS pos, r, c, v FROM {ENTRIES} JOIN {COLUMNS_AT} USING (c)",
         "matrix_intersection": f"""

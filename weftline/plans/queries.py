@@ -31,6 +31,7 @@ from weftline.plans.settings import (
     MATRIX_ROWS,
     MICRO_CLUSTERS,
     MODULUS,
+    NEAREST_USERS,
     RADIUS,
     RATE,
     ROUNDS,
@@ -321,6 +322,11 @@ def user_similarity(spark, folder):
     return _rounded(found, "ratio", "jaccard")
 
 
+def user_neighbours(spark, folder):
+    found = users.nearest_users(_matrix_of_plays(spark, folder), NEAREST_USERS)
+    return _rounded(found, "ratio", "jaccard")
+
+
 # --- matrix ---------------------------------------------------------------------------------
 
 
@@ -457,6 +463,7 @@ def queries() -> dict[str, Query]:
         "utility_matrix": utility_matrix,
         "utility_matrix_sum": utility_matrix_sum,
         "user_similarity": user_similarity,
+        "user_neighbours": user_neighbours,
         "matrix_rows": matrix_rows,
         "matrix_cols": matrix_cols,
         "matrix_intersection": matrix_intersection,

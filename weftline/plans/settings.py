@@ -16,6 +16,7 @@ SAMPLE_SEED = 1
 
 TOP_WORDS = 10
 USERS = (1, 2)
+NEAREST_USERS = 5
 MATRIX_ROWS = [3, 7, 3]
 MATRIX_COLUMNS = [1, 5]
 
