@@ -5,6 +5,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -76,17 +78,32 @@ def test_encoder_equals_tokenizer():
         "",
         ".",
     ]
+    texts += [None, texts[1], "  \n", texts[0]]
     for _ in range(2):
-        got = encoder.encode(texts)
-        for text, ids in zip(texts, got, strict=True):
-            assert np.frombuffer(ids, "<u4").tolist() == plain_ids(tokenizer, text)[:-1], text
+        assert encoded(encoder, texts) == [plain_ids(tokenizer, t) for t in texts]
+        # A slice of a longer column.
+        assert encoded(encoder, pa.array(["x", *texts, "y"]).slice(1, len(texts))) == [plain_ids(tokenizer, t) for t in texts]
+
+
+def encoded(encoder, texts):
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    tokens = encoder.encode(texts, packing.END_ID)
+    return [tokens.ids[a:b].tolist() for a, b in zip(tokens.bounds, tokens.bounds[1:])]
+
+
+def test_blanks_are_those_of_the_tokenizer():
+    """Every character between two letters: parted by Arrow if and only if it is white space."""
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    split = pc.utf8_split_whitespace(pa.array([f"a{c}b" for c in chars]))
+    parted = {c for c, n in zip(chars, split.value_lengths().to_pylist(), strict=True) if n == 2}
+    assert parted == {c for c in chars if c.isspace()}
 
 
 def test_other_tokenizers_are_used_whole():
     definition = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
     encoder, text = packing.Encoder(definition), "Hello  world, it's two  blanks.\n"
     plain = Tokenizer.from_str(definition).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == plain
+    assert encoded(encoder, [text, "", text]) == [[*plain, packing.END_ID], [packing.END_ID], [*plain, packing.END_ID]]
 
 
 def test_known_parts_are_bounded(monkeypatch):
@@ -95,16 +112,22 @@ def test_known_parts_are_bounded(monkeypatch):
     rng = random.Random(3)
     for _ in range(40):
         texts = [" ".join(f"w{chr(97 + rng.randrange(26))}{rng.choice(['x,', 'É.', 'yz', '9'])}" for _ in range(20))]
-        got = np.frombuffer(encoder.encode(texts)[0], "<u4").tolist()
-        assert got == plain_ids(tokenizer, texts[0])[:-1]
+        assert encoded(encoder, texts) == [plain_ids(tokenizer, texts[0])]
     assert len(encoder.known) + len(encoder.older) < 400
 
 
-def test_pack_table(spark):
+def test_pack_table(spark, monkeypatch):
     rows = [(i, "word " * n) for i, n in enumerate([0, 1, 5, 9_000, 4_095, 4_096, 30, 30, 2_000, 2_095])]
     rows += [(7, rows[7][1]), (None, "null id"), (50, None), (51, "É " * 9)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("offset", F.lit("x"))
-    pieces = packing.pack(docs.repartition(3), DEFINITION).collect()
+    pieces = packing.pack(docs.repartition(3), DEFINITION, ids=True).collect()
+    plain = packing.pack(docs.repartition(3), DEFINITION)
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+    merged = packing.pack(docs.repartition(3), DEFINITION)
+    assert "ids" not in plain.columns and sorted(map(tuple, plain.drop("sequence_id", "offset").collect()), key=repr) == sorted(
+        (tuple(p[c] for c in plain.columns[:-2]) for p in pieces), key=repr
+    )
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, merged.collect()), key=repr)
     tokenizer = Tokenizer.from_file(PATH)
     expected = []
     for doc, text in rows:

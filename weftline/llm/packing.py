@@ -11,8 +11,9 @@ What is done per piece is distributed: tokenising (which writes the pieces, each
 its task's pieces of its length), adding the counts of earlier tasks, and looking up its step.
 
 Tokens are those of the given tokenizer, then one end token per document. Where its pre-tokens
-never hold white space, a text's tokens are those of its parts between white space, and known
-parts are taken from a bounded table kept by each worker.
+never hold white space, a text's tokens are those of its parts between white space. The parts of
+many texts are split off and told apart as Arrow columns, so that Python handles each different
+part of a block once; known parts are taken from a bounded table kept by each worker.
 
 Defined results: null and empty texts are the end token alone; only documents longer than the
 capacity are cut, into full pieces and a rest; repeated rows and ties are packed each; an empty
@@ -29,20 +30,24 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from weftline.llm.word_hashes import blocks
 from weftline.shared import Tables
 
 CAPACITY = 4096
 END_ID = 1
-TEXTS_AT_ONCE = 64
+TEXT_BYTES_AT_ONCE = 6 << 20
 KNOWN_PARTS = 400_000
+# Rows of the numbers of earlier tasks up to which they may be sent to all tasks.
+BROADCAST_ROWS = 500_000
 
-# Separators that Python's split() takes as white space and the tokenizer does not.
-_ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
+# Separators that are white space to Arrow and not to the tokenizer.
+_ODD = "[\x1c-\x1f]"
 # Letters below this have one-letter lower case and no combining marks.
 _PLAIN = "İ"
 
@@ -104,21 +109,51 @@ class Encoder:
                     known[tail] = self._encode(tail)
                 known[part] = ids + known[tail]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_parts:
-            return [self._encode(t) for t in texts]
-        split = [None if any(c in t for c in _ODD) else t.split() for t in texts]
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts."""
         if len(self.known) > KNOWN_PARTS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        new = {p for parts in split if parts for p in parts if p not in known}
+        new = {p for p in parts if p not in known}
         if new:
             known.update((p, older[p]) for p in new if p in older)
             self._learn({p for p in new if p not in known})
-        return [
-            self._encode(t) if parts is None else b"".join(map(known.__getitem__, parts))
-            for t, parts in zip(texts, split, strict=True)
-        ]
+        return [known[p] for p in parts]
+
+    def encode(self, texts: pa.Array, end_id: int) -> Tokens:
+        """The ids of all texts, each with the end token behind it."""
+        whole = pc.fill_null(texts, "")
+        apart = pc.match_substring_regex(whole, _ODD) if self.by_parts else pa.array([True] * len(texts), pa.bool_())
+        odd = np.flatnonzero(apart.to_numpy(zero_copy_only=False))
+        split = pc.utf8_split_whitespace(pc.if_else(apart, "", whole))
+        parts = split.flatten().dictionary_encode()
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        ids = self._parts(parts.dictionary.to_pylist()) if self.by_parts else [b""] * len(parts.dictionary)
+        # Behind the parts come the texts that are encoded whole and the end token.
+        known = len(ids)
+        ids += [self._encode(whole[i].as_py()) for i in odd.tolist()]
+        ids.append(int(end_id).to_bytes(4, "little"))
+        which = parts.indices.to_numpy().astype("i8")
+        at = np.concatenate([bounds[1:][odd], bounds[1:]])
+        more = np.concatenate([np.arange(known, known + len(odd)), np.full(len(texts), known + len(odd))])
+        which = np.insert(which, at, more)
+        sizes = np.array([len(x) // 4 for x in ids], "i8")
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        starts, n = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        so_far = np.cumsum(n)
+        taken = flat[np.arange(so_far[-1] if len(n) else 0) + np.repeat(starts - so_far + n, n)]
+        # Every text has one more than its parts, an odd one two.
+        extra = np.ones(len(texts), "i8")
+        extra[odd] += 1
+        last = bounds[1:] + np.cumsum(extra) - 1
+        return Tokens(taken, np.concatenate([[0], so_far[last]]))
+
+
+class Tokens(NamedTuple):
+    """Ids of some texts, and where each text's begin and end."""
+
+    ids: np.ndarray
+    bounds: np.ndarray
 
 
 _encoders: dict[int, Encoder] = {}
@@ -133,41 +168,51 @@ def encoder(definition: str) -> Encoder:
     return _encoders[key]
 
 
-_PIECES = (
-    "piece int, start bigint, length bigint, ids binary, ids_crc32 bigint, part int, nth bigint"
-)
+_PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 
 
-def _pieces(definition, capacity: int, end_id: int):
+def _pieces(definition, capacity: int, end_id: int, with_ids: bool):
     """Tokenise; number each piece among its task's pieces of its length."""
-    end = int(end_id).to_bytes(4, "little")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(definition.value).encode
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, "i8")
         for batch in batches:
-            for at in range(0, len(batch), TEXTS_AT_ONCE):
-                few = batch.slice(at, TEXTS_AT_ONCE)
-                texts = [t or "" for t in few.column("text").to_pylist()]
-                rows: list[tuple] = []
-                for i, ids in enumerate(encode(texts)):
-                    whole = ids + end
-                    for k, start in enumerate(range(0, len(whole), 4 * capacity)):
-                        ids_of = whole[start : start + 4 * capacity]
-                        length = len(ids_of) // 4
-                        row = (i, k, start // 4, length, ids_of, crc32(ids_of), part, int(seen[length]))
-                        rows.append(row)
-                        seen[length] += 1
-                owner, *columns = zip(*rows, strict=True)
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        few.column("doc_id").take(pa.array(owner)),
-                        *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    ],
-                    names=["doc_id", "piece", "start", "length", "ids", "ids_crc32", "part", "nth"],
-                )
+            for block in blocks(batch.column("text"), TEXT_BYTES_AT_ONCE):
+                few = batch.slice(block.first, block.rows)
+                tokens = encode(few.column("text"), end_id)
+                size = np.diff(tokens.bounds)
+                pieces = -(-size // capacity)
+                owner = np.repeat(np.arange(len(size)), pieces)
+                k = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = k * capacity
+                length = np.minimum(size[owner] - start, capacity)
+                first = tokens.bounds[:-1][owner] + start
+                raw = memoryview(tokens.ids.tobytes())
+                sums = [crc32(raw[4 * a : 4 * b]) for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)]
+                # Places among the pieces of equal length, in the order they come.
+                order = np.argsort(length, kind="stable")
+                nth = np.empty(len(length), "i8")
+                nth[order] = np.arange(len(length)) - np.searchsorted(length[order], length[order])
+                nth += seen[length]
+                seen += np.bincount(length, minlength=capacity + 1)
+                columns = [
+                    few.column("doc_id").take(pa.array(owner)),
+                    pa.array(k.astype("i4")),
+                    pa.array(start),
+                    pa.array(length),
+                    pa.array(sums, pa.int64()),
+                    pa.array(np.full(len(owner), part, "i4")),
+                    pa.array(nth),
+                ]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
+                if with_ids:
+                    # Pieces lie one behind the other.
+                    ends = (np.concatenate([[0], np.cumsum(length)]) * 4).astype("i4")
+                    ids = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw)])
+                    columns, names = [*columns, ids], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return scan
 
@@ -271,19 +316,22 @@ def _places(plan):
     return places
 
 
-def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """``(doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset)``: every piece.
+def pack(
+    docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False
+) -> DataFrame:
+    """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``: every piece.
 
-    ``definition`` is the tokenizer's JSON; ``ids`` are little-endian unsigned 32-bit numbers.
+    ``definition`` is the tokenizer's JSON. With ``ids`` each piece's token ids are added, as
+    little-endian unsigned 32-bit numbers; they are then written with the pieces.
     """
     spark, tables = docs.sparkSession, Tables(docs.sparkSession)
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    made = docs.select("doc_id", "text").mapInArrow(
-        _pieces(spark.sparkContext.broadcast(definition), capacity, end_id), f"doc_id {doc_type}, {_PIECES}"
-    )
+    kinds = f"doc_id {doc_type}, {_PIECES}" + (", ids binary" if ids else "")
+    sent = spark.sparkContext.broadcast(definition)
+    made = docs.select("doc_id", "text").mapInArrow(_pieces(sent, capacity, end_id, ids), kinds)
     pieces = tables.cut(made, "pieces")
     counts = tables.cut(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "counts")
-    total = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()
+    total = counts.groupBy("length").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).collect()
     steps = best_fit_decreasing({r["length"]: r["n"] for r in total}, capacity)
     steps.sort(key=lambda s: (s.length, s.nth))
     plan = {name: np.array([getattr(s, name) for s in steps], "i8") for name in Step._fields}
@@ -291,10 +339,11 @@ def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int
     earlier = counts.select(
         "part", "length", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("_earlier")
     )
+    # One row per task and length, which compress so well that their file is no measure of them.
+    if sum(r["parts"] for r in total) > BROADCAST_ROWS:
+        earlier = earlier.hint("merge")
     places = _places(spark.sparkContext.broadcast(plan))
-    # Columns that the caller leaves out, the ids above all, are not read for this.
     numbered = pieces.join(earlier, ["part", "length"])
     placed = numbered.withColumn("_at", places("length", F.col("nth") + F.col("_earlier")))
-    return placed.select(
-        "doc_id", "piece", "start", "length", "ids", "ids_crc32", "_at.sequence_id", "_at.offset"
-    )
+    columns = ["doc_id", "piece", "start", "length", *(["ids"] if ids else []), "ids_crc32"]
+    return placed.select(*columns, "_at.sequence_id", "_at.offset")
