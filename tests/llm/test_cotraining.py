@@ -1,6 +1,9 @@
 """Co-trained quality by held-out accuracy; counts and calibration against plain Python."""
 
+import math
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -63,3 +66,71 @@ def test_platt_recovers_a_line():
     p = 1 / (1 + np.exp(-(0.5 * odds + 1)))
     a, b = cotraining.platt(odds, p * 1000, np.full(101, 1000.0))
     assert abs(a - 0.5) < 1e-3 and abs(b - 1) < 1e-3
+
+
+def word_place(word):
+    (block,) = cotraining.blocks(cotraining.pa.array([word]))
+    return int(cotraining.words(block, cotraining.NOT_BLANK).hashes[0] >> np.uint64(64 - cotraining.TEXT_BITS))
+
+
+def plain_run(rows, metas, labels):
+    """Scores by counting over sets, one document at a time."""
+    features = [({word_place(w) for w in r[1].split(" ") if w}, list(m)) for r, m in zip(rows, metas, strict=True)]
+    label = {i: y for i, y in labels}
+    known = [label.get(r[0]) for r in rows]
+    held = [r[0] in label and zlib.crc32(str(r[0]).encode()) % 4 == 2 for r in rows]
+    sure = math.log(cotraining.CONFIDENT / (1 - cotraining.CONFIDENT))
+
+    def odds(view, i, learned):
+        weights, prior = learned[view]
+        found = features[i][view]
+        total = sum(weights.get(p, 0.0) for p in found)
+        total = total / math.sqrt(max(1, len(found))) if view == 0 else total
+        return min(max(total + prior, -cotraining.LIMIT), cotraining.LIMIT)
+
+    learned = None
+    for _ in range(cotraining.ROUNDS + 1):
+        made = []
+        for view in (0, 1):
+            n, counts = [0, 0], [Counter(), Counter()]
+            for i in range(len(rows)):
+                target = known[i]
+                if target is None and learned is not None:
+                    other = odds(1 - view, i, learned)
+                    target = 1 if other >= sure else 0 if other <= -sure else None
+                if target is not None and not held[i]:
+                    n[target] += 1
+                    counts[target].update(features[i][view])
+            s = cotraining.SMOOTHING
+            weights = {
+                p: math.log((counts[1][p] + s) / (n[1] + 2 * s)) - math.log((counts[0][p] + s) / (n[0] + 2 * s))
+                for p in counts[0] | counts[1]
+            }
+            made.append((weights, math.log((n[1] + s) / (n[0] + s))))
+        learned = made
+    judged = [(odds(0, i, learned), odds(1, i, learned)) for i in range(len(rows))]
+    tested = [i for i in range(len(rows)) if held[i]]
+    lines = []
+    for view in (0, 1):
+        bins = {}
+        for i in tested:
+            of = bins.setdefault(math.floor(judged[i][view] / cotraining.BIN + 0.5), [0, 0])
+            of[0] += known[i]
+            of[1] += 1
+        at = np.array(sorted(bins), float)
+        lines.append(cotraining.platt(at * cotraining.BIN, *(np.array([bins[b][j] for b in at]) for j in (0, 1))))
+    good = sum(known[i] for i in tested)
+    prior = math.log((good + 0.5) / (len(tested) - good + 0.5))
+    calibrated = [[a * j + b for (a, b), j in zip(lines, both, strict=True)] for both in judged]
+    return [[1 / (1 + math.exp(-x)) for x in (t, m, t + m - prior)] for t, m in calibrated]
+
+
+def test_whole_run_against_plain_counts(spark):
+    rows, labels, _ = corpus(300, 5)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    metas = {r["doc_id"]: r["m"] for r in docs.select("doc_id", cotraining._metadata().alias("m")).collect()}
+    got = cotraining.co_train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()
+    expected = plain_run(rows, [metas[r[0]] for r in rows], labels)
+    by_id = {r["doc_id"]: [r["text_score"], r["meta_score"], r["score"]] for r in got}
+    for r, e in zip(rows, expected, strict=True):
+        assert np.allclose(by_id[r[0]], e, atol=1e-6), r[0]

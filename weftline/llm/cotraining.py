@@ -12,7 +12,8 @@ less the prior that both contain.
 
 All documents take part in every round. Texts are read once, into a table of places; rounds scan
 that table, and what leaves a task is one count per place and class, so the counts that reach
-the driver have a fixed size.
+the driver have a fixed size. Only rows whose doc_id passes a filter of the labelled ids are
+sorted to meet the labels; all others stay where they were written.
 
 Defined results: a null text has no words and size 0; null source or language are values of
 their own; labels that disagree are ignored; without labels of both kinds all get 0.5 from a
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.folds import labels_of
+from weftline.llm.membership import KeyFilter, key_filter
 from weftline.llm.word_hashes import NOT_BLANK, blocks, words
 from weftline.shared import Tables
 
@@ -43,19 +45,27 @@ LIMIT = 30.0
 BIN = 0.1
 
 
-def _word_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block in blocks(batch.column("text")):
-            found = words(block, NOT_BLANK)
-            places = (found.hashes >> np.uint64(64 - TEXT_BITS)).astype("i8")
-            pairs = np.unique((found.rows << TEXT_BITS) + places)
-            ends = np.searchsorted(pairs >> TEXT_BITS, np.arange(block.rows + 1)) * 2
-            raw = (pairs & (1 << TEXT_BITS) - 1).astype("<u2").tobytes()
-            lists = pa.Array.from_buffers(
-                pa.binary(), block.rows, [None, pa.py_buffer(ends.astype("i4").tobytes()), pa.py_buffer(raw)]
-            )
-            kept = batch.select(["doc_id", "meta"]).slice(block.first, block.rows)
-            yield pa.RecordBatch.from_arrays([*kept.columns, lists], names=["doc_id", "meta", "words"])
+def _word_places(sent):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labelled: KeyFilter = sent.value
+        for batch in batches:
+            maybe = pa.array(labelled.passes(batch.column("mark").to_numpy().view("u8")))
+            for block in blocks(batch.column("text")):
+                found = words(block, NOT_BLANK)
+                places = (found.hashes >> np.uint64(64 - TEXT_BITS)).astype("i8")
+                pairs = np.unique((found.rows << TEXT_BITS) + places)
+                ends = np.searchsorted(pairs >> TEXT_BITS, np.arange(block.rows + 1)) * 2
+                raw = (pairs & (1 << TEXT_BITS) - 1).astype("<u2").tobytes()
+                lists = pa.Array.from_buffers(
+                    pa.binary(), block.rows, [None, pa.py_buffer(ends.astype("i4").tobytes()), pa.py_buffer(raw)]
+                )
+                kept = batch.select(["doc_id", "meta"]).slice(block.first, block.rows)
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, lists, maybe.slice(block.first, block.rows)],
+                    names=["doc_id", "meta", "words", "maybe"],
+                )
+
+    return scan
 
 
 def _metadata() -> Column:
@@ -206,11 +216,18 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFr
     """``(doc_id, held_out, text_score, meta_score, score)``: chances of good quality."""
     spark, tables = docs.sparkSession, Tables(docs.sparkSession)
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    read = docs.select("doc_id", "text", _metadata().alias("meta"))
-    places = read.mapInArrow(_word_places, f"doc_id {doc_type}, meta array<int>, words binary")
     marked = labels_of(labels, "quality").select("_doc", F.col("label").cast("int").alias("label"), "held_out")
-    rows = places.join(marked, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
-    rows = tables.cut(rows.withColumn("held_out", F.coalesce("held_out", F.lit(False))), "places")
+    marked = tables.cut(marked, "labels")
+    # Rows without doc_id have a mark too; it meets no label in the join.
+    sent = spark.sparkContext.broadcast(key_filter(marked.select(F.xxhash64("_doc").alias("mark")), "mark"))
+    id_mark = F.xxhash64(F.col("doc_id").cast(marked.schema["_doc"].dataType)).alias("mark")
+    read = docs.select("doc_id", "text", _metadata().alias("meta"), id_mark)
+    kinds = f"doc_id {doc_type}, meta array<int>, words binary, maybe boolean"
+    places = tables.cut(read.mapInArrow(_word_places(sent), kinds), "places")
+    met = places.where("maybe").join(marked, F.col("doc_id") == F.col("_doc"), "left").drop("_doc", "maybe")
+    met = tables.cut(met.withColumn("held_out", F.coalesce("held_out", F.lit(False))), "labelled")
+    others = places.where("NOT maybe").drop("maybe").withColumns({"label": F.lit(None).cast("int"), "held_out": F.lit(False)})
+    rows = met.unionByName(others)
     views = None
     for _ in range(rounds + 1):
         views = _train(rows, views)
