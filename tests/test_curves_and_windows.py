@@ -168,6 +168,57 @@ def test_stream_with_disorder_and_late_events(spark, tmp_path):
     assert [(r.level, r.ones) for r in ones.collect()] == list(zip(got[-1].levels, got[-1].ones, strict=True))
 
 
+def some_events(spark, users, each, seed=2):
+    """One user with a third of all events and many at the same moment."""
+    rng = np.random.default_rng(seed)
+    who = np.concatenate([np.repeat(np.arange(users), each), np.full(users * each // 2, 99)])
+    rows = [
+        (int(u), int(t), i, int(b))
+        for i, (u, t, b) in enumerate(zip(who, rng.integers(0, 4_000, len(who)), rng.integers(0, 2, len(who)), strict=True))
+    ]
+    df = spark.createDataFrame(rows, "key bigint, ms bigint, event_id bigint, bit int")
+    return df.select("key", F.timestamp_millis("ms").alias("ts"), "event_id", "bit")
+
+
+def batch_estimates(events, width, k):
+    bits = expwindow.number_bits(events, "key", ["ts", "event_id"], F.col("bit"))
+    return {(r.key, r.n): r.estimate for r in expwindow.estimates(bits, width, k).collect()}
+
+
+def test_replay_holds_one_bucket_of_a_busy_user(spark, monkeypatch):
+    """All events come out, in bounded batches, and no bucket holds more than a part of the user."""
+    longest = 60
+
+    class Bounded(streamed._PushInOrder):
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            for name in list(self.waiting.keys()):
+                held = len(self.waiting.getValue(name)[0])
+                if held > longest:
+                    raise ValueError(f"{held} rows in one bucket")
+            yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+
+    monkeypatch.setattr(streamed, "_PushInOrder", Bounded)
+    events = some_events(spark, 6, 50)
+    got = streamed.replay(events, 20, 15, rows=120, bucket_rows=20).collect()
+    assert {(r.key, r.n): r.estimate for r in got} == batch_estimates(events, 20, 15)
+    assert len(got) == 6 * 5 + 15
+
+
+def test_stream_goes_on_from_blocks(spark):
+    events = some_events(spark, 4, 40)
+    early, late = events.where("ts <= timestamp_millis(1500)"), events.where("ts > timestamp_millis(1500)")
+    bits = expwindow.number_bits(early, "key", ["ts", "event_id"], F.col("bit"))
+    before = expwindow.final_blocks(bits, 20).select("key", "n", "level", "block", "ones")
+    got = {(r.key, r.n): r.estimate for r in streamed.replay(late, 20, 15, before=before).collect()}
+    counts = {r.key: r["count"] for r in early.groupBy("key").count().collect()}
+    expected = {at: e for at, e in batch_estimates(events, 20, 15).items() if at[1] > counts.get(at[0], 0)}
+    assert got == expected and got
+
+
+def test_replay_of_no_events(spark):
+    assert streamed.replay(some_events(spark, 1, 2).limit(0), 20, 15).collect() == []
+
+
 def test_null_keys_are_fitted_too(spark):
     for kind, keys in (("string", ("a", None)), ("bigint", (1, None))):
         rows = [(k, i, float(i), 2.0 * i) for k in keys for i in range(5)]

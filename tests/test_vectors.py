@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from weftline.operators import kmeans, linkage, pairs
+from weftline.operators import centroids, kmeans, linkage, pairs
 
 START = [[0.0, 0.0], [10.0, 10.0], [33.0, 33.0]]
 
@@ -237,3 +237,44 @@ def test_cluster_labels(spark, six_points, stop):
             if g & new:
                 groups[k] = new
     assert got == {i: min(groups[i]) for i in range(6)}
+
+
+def test_edges_named_range_by_range(spark):
+    """Ranges of a few edges, whose clusters come from components of all shorter ones."""
+    rng = np.random.default_rng(6)
+    n = 60
+    rows = [(int(rng.integers(0, i)), i, float(rng.integers(0, 30))) for i in range(1, n)]
+    tree = spark.createDataFrame([(min(a, b), max(a, b), d) for a, b, d in rows], "lo bigint, hi bigint, d double")
+    whole = merges(linkage.merges_of_tree(tree, n))
+    assert merges(linkage.merges_of_tree(tree, n, range_rows=9)) == whole
+    up, size, expected = list(range(n)), {i: 1 for i in range(n)}, []
+    for k, (d, lo, hi) in enumerate(sorted((d, min(a, b), max(a, b)) for a, b, d in rows)):
+        a, b = sorted((up[lo], up[hi]))
+        size[n + k] = size[a] + size[b]
+        up = [n + k if x in (a, b) else x for x in up]
+        expected.append((a, b, d, size[n + k]))
+    assert whole == expected
+
+
+def test_centroid_rounds_with_few_clusters_in_sight(spark):
+    rng = np.random.default_rng(8)
+    table = np.concatenate([rng.normal(c, 0.3, size=(14, 2)) for c in (0, 4, 9)])
+    got = merges(linkage.centroid_linkage(points_of(spark, table), whole=12, seeds=8, listed=6))
+    same_merges(got, greedy(table, "centroid"))
+
+
+def test_centroid_workspace_with_ties():
+    """All at once, and equal distances by lowest ids, against the plain loop."""
+    table = [[x, y] for x in range(5) for y in range(4)] + [[0, 0], [0, 0], [3, 3]]
+    members = [{"id": i, "v": [float(c) for c in v], "size": 1} for i, v in enumerate(table)]
+    work = centroids.Workspace(members, {i: float("inf") for i in range(len(table))}, float("inf"))
+    got = work.merges(0, len(table), len(table) - 1)
+    alive, expected = {i: (np.array(v, float), 1) for i, v in enumerate(table)}, []
+    while len(alive) > 1:
+        d, a, b = min((float(np.sqrt(((alive[a][0] - alive[b][0]) ** 2).sum())), a, b) for a in alive for b in alive if a < b)
+        (v, p), (w, q) = alive.pop(a), alive.pop(b)
+        new = len(table) + len(expected)
+        alive[new] = ((v * p + w * q) / (p + q), p + q)
+        expected.append((len(expected), a, b, new, d, p + q))
+    assert [m[:4] for m in got] == [m[:4] for m in expected]
+    assert [m[4] for m in got] == pytest.approx([m[4] for m in expected])

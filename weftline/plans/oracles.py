@@ -94,6 +94,28 @@ def _as_one_stream(sql: str) -> str:
 
 
 
+# One step per merge: all clusters left, with what the new one was made of.
+CENTROID = """
+    WITH RECURSIVE walk AS (
+        SELECT CAST(0 AS BIGINT) AS step, row_number() OVER (ORDER BY vec_id) - 1 AS id,
+               CAST(embedding AS DOUBLE[]) AS v, CAST(1 AS BIGINT) AS size, CAST(NULL AS BIGINT) AS l,
+               CAST(NULL AS BIGINT) AS r, CAST(NULL AS DOUBLE) AS d
+        FROM embeddings
+        UNION ALL (
+            WITH best AS (
+                SELECT min({'d': list_distance(a.v, b.v), 'lo': a.id, 'hi': b.id}) AS m
+                FROM walk a JOIN walk b ON a.id < b.id)
+            SELECT c.step + 1, c.id, c.v, c.size, NULL, NULL, NULL
+            FROM walk c, best WHERE c.id NOT IN (m.lo, m.hi)
+            UNION ALL
+            SELECT x.step + 1, (SELECT count(*) FROM embeddings) + x.step,
+                   list_transform(list_zip(x.v, y.v), lambda p: (p[1] * x.size + p[2] * y.size) / (x.size + y.size)),
+                   x.size + y.size, x.id, y.id, m.d
+            FROM best JOIN walk x ON x.id = m.lo JOIN walk y ON y.id = m.hi))
+    SELECT step - 1 AS step, l AS left_id, r AS right_id, id AS new_id, round(d, 6) AS height, size
+    FROM walk WHERE l IS NOT NULL"""
+
+
 def _kmeans(rounds: int) -> str:
     """Points, start centres ``c0`` and, per round i, assignment ``a<i>`` and centres ``c<i>``."""
     steps = [
@@ -269,6 +291,7 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_changed": f"""{_kmeans(1)}
             SELECT count(*) > 0 AS changed FROM c1 WHERE v NOT IN (SELECT v FROM c0)""",
         "kmeans_fit": f"{_kmeans(ROUNDS)} {_cells(f'c{ROUNDS}')}",
+        "link_centroid": CENTROID,
         "hash_rows": f"SELECT p_partkey, {hashed} FROM part",
         "minhash_signatures": f"""{SETS}
             SELECT set_id, array_to_string(s, ',') AS signature FROM signatures""",
@@ -325,10 +348,12 @@ def oracle_sql() -> dict[str, str]:
             FROM live JOIN sums USING (key, level, block)""",
         "expwin_estimate": f"{ESTIMATES} SELECT key, n, CAST(estimate AS DOUBLE) AS estimate FROM estimates",
         "ones_error_report": report,
-        "expwin_stream": (
-            f"{ESTIMATES} SELECT key, n, CAST(estimate AS DOUBLE) AS estimate FROM estimates".replace(
-                "FROM events",
-                "FROM events WHERE ts <= (SELECT date_trunc('milliseconds', max(ts)) FROM events)",
-            )
-        ),
+        "expwin_stream": f"{ESTIMATES} SELECT key, n, CAST(estimate AS DOUBLE) AS estimate FROM estimates",
+        "expwin_resumed": f"""{ESTIMATES},
+            earlier AS (
+                SELECT user_id AS key, count(*) AS h FROM events
+                WHERE epoch_us(ts) <= (SELECT (epoch_us(min(ts)) + epoch_us(max(ts))) // 2 FROM events)
+                GROUP BY user_id)
+            SELECT key, n, CAST(estimate AS DOUBLE) AS estimate
+            FROM estimates LEFT JOIN earlier USING (key) WHERE n > coalesce(h, 0)""",
     }

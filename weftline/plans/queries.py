@@ -29,7 +29,6 @@ from weftline.plans.settings import (
     LAST_K,
     MATRIX_COLUMNS,
     MATRIX_ROWS,
-    MICRO_CLUSTERS,
     MODULUS,
     NEAREST_USERS,
     RADIUS,
@@ -45,7 +44,7 @@ from weftline.plans.settings import (
 from weftline.shared import new_path
 from weftline.sources import text
 from weftline.sources.tables import table
-from weftline.streaming.expwindow import replay_events
+from weftline.streaming.expwindow import replay_events, resume_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -262,15 +261,6 @@ def _linked(linkage_of: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: _rounded(linkage_of(inputs.points(spark, folder)), "height")
 
 
-def link_centroid(spark, folder):
-    """The whole table as k-means micro-clusters, linked with their sizes."""
-    points = inputs.points(spark, folder)
-    fitted = kmeans.fit(points, MICRO_CLUSTERS, ROUNDS, seed=SAMPLE_SEED)
-    sizes = kmeans.sizes(points, fitted.centres).withColumnRenamed("n", "size")
-    micro = kmeans.centre_table(spark, fitted.centres).join(sizes, "cluster")
-    return _rounded(linkage.centroid_linkage(micro.withColumnRenamed("cluster", "id")), "height")
-
-
 # --- MinHash --------------------------------------------------------------------------------
 
 
@@ -412,10 +402,14 @@ def ones_error_report_global(spark, folder):
 
 
 def expwin_stream(spark, folder):
-    """The estimates of all events the final watermark has passed."""
     return replay_events(spark, folder, WIDTH, LAST_K).select("key", "n", "estimate")
 
 
+def expwin_resumed(spark, folder):
+    """The estimates of the later half, from a stream that starts with the earlier half's blocks."""
+    return resume_events(spark, folder, WIDTH, LAST_K).select("key", "n", "estimate")
+
+
 def queries() -> dict[str, Query]:
     return {
         "read_vectors": read_vectors,
@@ -455,7 +449,7 @@ def queries() -> dict[str, Query]:
         "link_single": _linked(linkage.single_linkage),
         "link_complete": _linked(linkage.complete_linkage),
         "link_average": _linked(linkage.average_linkage),
-        "link_centroid": link_centroid,
+        "link_centroid": _linked(linkage.centroid_linkage),
         "hash_rows": hash_rows,
         "minhash_signatures": minhash_signatures,
         "minhash_overlap": _compared("overlap"),
@@ -479,4 +473,5 @@ def queries() -> dict[str, Query]:
         "ones_exact_global": ones_exact_global,
         "ones_error_report_global": ones_error_report_global,
         "expwin_stream": expwin_stream,
+        "expwin_resumed": expwin_resumed,
     }

@@ -4,7 +4,6 @@ from weftline.operators.minhash import hash_params
 
 K = 5
 ROUNDS = 3
-MICRO_CLUSTERS = 12
 RADIUS = 1.1
 
 HASHES = hash_params(30, seed=7)

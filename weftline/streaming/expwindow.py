@@ -1,12 +1,17 @@
 """The exponential window over a stream of bits, in order of event time.
 
-Rows of a key wait in state until the watermark has passed them, so they are pushed in the
-order of ``(ts, event_id)`` however they arrive; rows later than the watermark are dropped by
-Spark. A key's window is two blocks per level: its state grows with the logarithm of the width.
+A key's rows wait in state in buckets of time, one map entry and one timer per bucket. When the
+watermark has passed a bucket's end, its rows are pushed in the order of ``(ts, event_id)``,
+however they arrived, and the entry goes; no more than a bucket is ever held at once. Rows later
+than the watermark are dropped by Spark; rows without a bit only move the watermark. A key's
+window is two blocks per level: its state grows with the logarithm of the width.
+
+A stream can start from the blocks of a batch (``final_blocks``), which become its first state.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,14 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from weftline.operators.expwindow import top_level
+from weftline.operators.expwindow import final_blocks, number_bits, top_level
 from weftline.plans.inputs import purchase_bit
-from weftline.shared import is_folder, new_path
+from weftline.shared import cut, new_path
 from weftline.sources.tables import table
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "n bigint, estimate double, levels array<int>, ones array<bigint>"
-_WAITING = "ts timestamp, event_id bigint, bit int"
+BUCKET_MS = 60_000
+# A table that is replayed: rows of a micro-batch, and of a bucket of the key with most rows.
+REPLAY_ROWS = 100_000
+BUCKET_ROWS = 1_000
+_BUCKET = "us array<bigint>, event_id array<bigint>, bit array<int>"
 _WINDOW = "n bigint, counts array<int>, ones array<bigint>"
 
 
@@ -61,114 +70,186 @@ class Window:
 
 
 class _PushInOrder(StatefulProcessor):
-    def __init__(self, width: int, k: int, every: int):
-        self.width, self.k, self.every = width, k, every
+    def __init__(self, width: int, k: int, every: int, bucket_ms: int):
+        self.width, self.k, self.every, self.bucket_ms = width, k, every, bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _WAITING)
+        self.waiting = handle.getMapState("waiting", "bucket bigint", _BUCKET)
         self.window = handle.getValueState("window", _WINDOW)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """The live blocks ``(key, n, level, block, ones)`` of what went before."""
+        rows = initialState.sort_values(["level", "block"])
+        levels = range(top_level(self.width) + 1)
+        blocks = [rows["ones"][rows["level"] == level].tolist() for level in levels]
+        self._keep(Window(self.width, int(rows["n"].iloc[0]), blocks))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
-            ordered = batch[["ts", "event_id", "bit"]]
-            self.waiting.appendList(list(ordered.itertuples(index=False, name=None)))
-            self.handle.registerTimer(_timer(ordered["ts"].min()))
+            known = batch[batch["bit"].notna()]
+            bucket = known["us"] // (self.bucket_ms * 1_000)
+            for at, mine in known.groupby(bucket):
+                name = (int(at),)
+                held = self.waiting.getValue(name) if self.waiting.containsKey(name) else ([], [], [])
+                more = (mine[c].astype("int64").tolist() for c in ("us", "event_id", "bit"))
+                self.waiting.updateValue(name, tuple([*a, *b] for a, b in zip(held, more, strict=True)))
+                self.handle.registerTimer((name[0] + 1) * self.bucket_ms)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms")
-        rows = pd.DataFrame(list(self.waiting.get()), columns=["ts", "event_id", "bit"])
-        if rows.empty:
+        passed = timerValues.getCurrentWatermarkInMs() // self.bucket_ms
+        due = sorted(name[0] for name in self.waiting.keys() if name[0] < passed)
+        if not due:
             yield pd.DataFrame()
             return
-        due = rows["ts"] <= passed
-        ready, later = rows[due].sort_values(["ts", "event_id"]), rows[~due]
-        self.waiting.clear()
-        if not later.empty:
-            self.waiting.put(list(later.itertuples(index=False, name=None)))
-            self.handle.registerTimer(_timer(later["ts"].min()))
-        yield self._push(key[0], ready["bit"])
-
-    def _push(self, key, bits: pd.Series) -> pd.DataFrame:
-        window = Window(self.width)
-        if self.window.exists():
-            n, counts, ones = self.window.get()
-            ends = np.cumsum(counts)
-            window = Window(
-                self.width, n, [list(ones[e - c : e]) for c, e in zip(counts, ends, strict=True)]
-            )
-        reports = []
-        for bit in bits:
-            window.push(int(bit))
-            if window.n % self.every == 0:
-                levels = [i for i, level in enumerate(window.blocks) for _ in level]
-                ones = [b for level in window.blocks for b in level]
-                reports.append((key, window.n, window.estimate(self.k), levels, ones))
+        window = self._kept()
+        for bucket in due:
+            us, ids, bits = self.waiting.getValue((bucket,))
+            self.waiting.removeKey((bucket,))
+            reports = []
+            for i in np.lexsort((ids, us)).tolist():
+                window.push(int(bits[i]))
+                if window.n % self.every == 0:
+                    levels = [level for level, blocks in enumerate(window.blocks) for _ in blocks]
+                    ones = [b for blocks in window.blocks for b in blocks]
+                    reports.append((key[0], window.n, window.estimate(self.k), levels, ones))
+            yield pd.DataFrame(reports, columns=["key", "n", "estimate", "levels", "ones"])
+        self._keep(window)
+
+    def _kept(self) -> Window:
+        if not self.window.exists():
+            return Window(self.width)
+        n, counts, ones = self.window.get()
+        ends = np.cumsum(counts)
+        return Window(self.width, n, [list(ones[e - c : e]) for c, e in zip(counts, ends, strict=True)])
+
+    def _keep(self, window: Window) -> None:
         counts = [len(level) for level in window.blocks]
         self.window.update((window.n, counts, [int(b) for level in window.blocks for b in level]))
-        return pd.DataFrame(reports, columns=["key", "n", "estimate", "levels", "ones"])
 
     def close(self) -> None:
         pass
 
 
-def _timer(ts: pd.Timestamp) -> int:
-    """The first millisecond that is not before ``ts``."""
-    return -(-pd.Timestamp(ts).value // 1_000_000)
-
-
 def stream_estimates(
-    events: DataFrame, width: int, k: int, every: int = 10, delay: str = "0 seconds"
+    events: DataFrame,
+    width: int,
+    k: int,
+    every: int = 10,
+    delay: str = "0 seconds",
+    bucket_ms: int = BUCKET_MS,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """``(key, n, estimate, levels, ones)`` every so many bits of each key of a stream.
 
     ``events`` is a streaming ``(key, ts, event_id, bit)``. ``levels`` and ``ones`` list the live
-    blocks, oldest first within a level. Needs the RocksDB state store.
+    blocks, oldest first within a level. ``before`` holds the live blocks ``(key, n, level, block,
+    ones)`` of bits that went before. Needs the RocksDB state store.
     """
     if not 1 <= k <= width:
         raise ValueError("k must lie between 1 and the window width")
     key_type = events.schema["key"].dataType.simpleString()
-    return (
-        events.withWatermark("ts", delay)
-        .groupBy("key")
-        .transformWithStateInPandas(
-            statefulProcessor=_PushInOrder(width, k, every),
-            outputStructType=f"key {key_type}, {OUTPUT}",
-            outputMode="Append",
-            timeMode="EventTime",
-        )
+    timed = events.withWatermark("ts", delay).withColumn("us", F.unix_micros("ts"))
+    return timed.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=_PushInOrder(width, k, every, bucket_ms),
+        outputStructType=f"key {key_type}, {OUTPUT}",
+        outputMode="Append",
+        timeMode="EventTime",
+        initialState=None if before is None else before.groupBy("key"),
     )
 
 
-def replay_events(
-    spark: SparkSession, folder: str, width: int, k: int, every: int = 10
+def _staged(events: DataFrame, rows: int) -> str:
+    """Write ``(key, ts, event_id, bit)`` as files in the order of time, which a stream reads so."""
+    spark, path = events.sparkSession, new_path(events.sparkSession, "stream-input")
+    files = max(1, math.ceil(events.count() / rows))
+    events.repartitionByRange(files, "ts", "event_id").write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(str(f.getPath()) for f in system.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    # A file stream takes files by their time of change; tasks may have ended in any order.
+    latest = max((f.getModificationTime() for f in system.listStatus(folder)), default=0)
+    for i, name in enumerate(names):
+        system.setTimes(spark._jvm.org.apache.hadoop.fs.Path(name), latest - 1_000 * (len(names) - i), -1)
+    return path
+
+
+def replay(
+    events: DataFrame,
+    width: int,
+    k: int,
+    every: int = 10,
+    rows: int = REPLAY_ROWS,
+    before: DataFrame | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Run the event table through ``stream_estimates``; its output as written by the stream."""
+    """Run a table ``(key, ts, event_id, bit)`` through ``stream_estimates``, to its last event.
+
+    Micro-batches of about so many rows follow the order of time. A row without a bit, behind all
+    others, then moves the watermark past the last of them. Buckets are as long as hold about
+    ``bucket_rows`` rows of the key that has most.
+    """
+    spark = events.sparkSession
+    events = cut(events, "events")
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    schema = table(spark, folder, "events").schema
-    source = session.readStream.schema(schema)
-    path = f"{folder.rstrip('/')}/events.parquet"
-    if is_folder(spark, path):
-        rows = source.parquet(path)
-    else:
-        rows = source.option("pathGlobFilter", "events.parquet").parquet(folder)
-    bits = rows.select(
+    staged, closing = _staged(events, rows), new_path(spark, "stream-end")
+    span = events.agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts"))).first()
+    most = events.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    bucket_ms = max(1, ((span[1] or 0) - (span[0] or 0)) * bucket_rows // most + 1)
+    gap = max(bucket_ms, 86_400_000)
+    last = events.agg((F.unix_millis(F.max("ts")) + F.lit(gap)).alias("ms")).selectExpr("timestamp_millis(ms) AS ts")
+    none = {c: F.lit(None).cast(events.schema[c].dataType) for c in ("key", "event_id", "bit")}
+    end = last.withColumns(none).select(events.columns)
+    end.where(F.lit(False)).write.parquet(closing)
+    out, progress = new_path(spark, "stream"), new_path(spark, "stream-progress")
+    schema = events.schema
+    started = None if before is None else session.read.schema(before.schema).parquet(_written(before))
+    for _ in range(2):
+        source = session.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+        both = source.parquet(staged).unionByName(source.parquet(closing))
+        query = (
+            stream_estimates(both, width, k, every, bucket_ms=bucket_ms, before=started)
+            .writeStream.outputMode("append")
+            .trigger(availableNow=True)
+            .option("checkpointLocation", progress)
+            .format("parquet")
+            .start(out)
+        )
+        query.awaitTermination()
+        end.write.mode("append").parquet(closing)
+    key_type = events.schema["key"].dataType.simpleString()
+    return spark.read.schema(f"key {key_type}, {OUTPUT}").parquet(out)
+
+
+def _written(df: DataFrame) -> str:
+    """The folder of a copy, for a reader in another session."""
+    path = new_path(df.sparkSession, "blocks")
+    df.write.parquet(path)
+    return path
+
+
+def _table_bits(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events").select(
         F.col("user_id").alias("key"),
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
         purchase_bit().cast("int").alias("bit"),
     )
-    out = new_path(spark, "stream")
-    query = (
-        stream_estimates(bits, width, k, every)
-        .writeStream.outputMode("append")
-        .trigger(availableNow=True)
-        .option("checkpointLocation", new_path(spark, "stream-progress"))
-        .format("parquet")
-        .start(out)
-    )
-    query.awaitTermination()
-    return spark.read.schema(f"key bigint, {OUTPUT}").parquet(out)
+
+
+def replay_events(spark: SparkSession, folder: str, width: int, k: int, every: int = 10) -> DataFrame:
+    """The event table as a stream; its output as written by the stream."""
+    return replay(_table_bits(spark, folder), width, k, every)
+
+
+def resume_events(spark: SparkSession, folder: str, width: int, k: int, every: int = 10) -> DataFrame:
+    """The later half of the events as a stream that starts from the blocks of the earlier half."""
+    events = _table_bits(spark, folder)
+    middle = events.agg(F.expr("timestamp_micros((unix_micros(min(ts)) + unix_micros(max(ts))) div 2) AS t")).first()[0]
+    at = F.lit(middle)
+    bits = number_bits(events.where(F.col("ts") <= at), "key", ["ts", "event_id"], F.col("bit"))
+    before = final_blocks(bits, width).select("key", "n", "level", "block", "ones")
+    return replay(events.where(F.col("ts") > at), width, k, every, before=before)
