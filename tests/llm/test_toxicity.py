@@ -1,8 +1,12 @@
 """Toxicity by held-out accuracy, and the counterfactual penalty by its effect."""
 
 import random
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from weftline.llm import toxicity
@@ -81,18 +85,69 @@ def test_nothing_to_learn(spark):
         model = toxicity.train(docs, marks)
         got = docs.withColumn("s", toxicity.score(model, spark)(F.col("text"))).collect()
         assert all(r["s"] <= expected for r in got)
+    assert [r["s"] for r in docs.withColumn("s", toxicity.score(toxicity.train(docs, none), spark)(F.col("text"))).collect()] == [0.0, 0.0]
 
 
-def test_fit_against_plain_descent():
+@pytest.mark.parametrize("share, penalty", [(0.3, 0.0), (0.3, 1.0), (0.12, 1.0), (0.12, 10.0)])
+def test_fit_against_plain_descent(monkeypatch, share, penalty):
+    """With few features a row, and with swaps, at any strength of the penalty."""
+    monkeypatch.setattr(toxicity, "SWAP_PENALTY", penalty)
     rng = np.random.Generator(np.random.PCG64(1))
-    dense = rng.random((300, 8)) < 0.3
-    labels = (dense[:, 0] | (rng.random(300) < 0.05)).astype(float)
+    dense = rng.random((300, 8)) < share
+    labels = (dense[:, 0] | dense[:, 3] | (rng.random(300) < 0.05)).astype(float)
     rows, places = np.nonzero(dense)
-    w, b = toxicity.fit(rows, places, labels, 8, np.zeros((0, 8)), np.zeros(0))
+    changes = np.zeros((2, 8))
+    changes[0, [3, 4]], changes[1, [5, 6]] = (1, -1), (1, -1)
+    weight = np.array([0.75, 0.25])
+    w, b = toxicity.fit(rows, places, labels, 8, changes, weight)
+    per_row = dense.sum() / 300 + 1
     v, c = np.zeros(8), 0.0
-    for _ in range(20_000):
+    for _ in range(40_000):
         error = 1 / (1 + np.exp(-(dense @ v + c))) - labels
-        v -= 0.5 * (dense.T @ error / 300 + toxicity.RIDGE * v)
-        c -= 0.5 * error.mean()
+        slope = dense.T @ error / 300 + toxicity.RIDGE * v
+        slope += 2 * penalty * changes.T @ (weight * (changes @ v)) / per_row
+        v -= 0.05 * slope
+        c -= 0.05 * error.mean()
     margin = lambda w, b: 1 / (1 + np.exp(-(dense @ w + b)))
     assert np.abs(margin(w, b) - margin(v, c)).max() < 0.05
+    if penalty >= 1:
+        assert abs(w[3] - w[4]) < 0.5 * abs(w[0])
+
+
+def test_features_and_scores_against_plain_words(spark):
+    """Places chosen and scores, from sets of words and heads."""
+    rng = random.Random(6)
+    rows, labels = corpus(300, rng, 0.5)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+
+    def keys(text):
+        words = re.findall(r"[^\x20\x09-\x0D.,;:!?()\[\]{}\"'#*$%&|<>]+", text.lower())
+        return {(0, w) for w in words} | {(h, w[:h]) for w in words for h in toxicity.HEADS if len(w) > h}
+
+    def place(key):
+        (block,) = toxicity.blocks(toxicity.pa.array([key[1]]))
+        sums = toxicity.byte_sums(block.data)
+        span = toxicity.hash_spans(sums, np.array([0]), np.array([len(key[1])]))
+        return int(toxicity.mix(span + np.uint64(key[0]))[0] >> np.uint64(64 - toxicity.PLACE_BITS))
+
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
+    trained = [(keys(t), y) for (i, t), (_, y) in zip(rows, labels, strict=True) if i not in held]
+    n = {y: sum(z == y for _, z in trained) for y in (0, 1)}
+    seen = {y: Counter(p for ks, z in trained if z == y for p in {place(k) for k in ks}) for y in (0, 1)}
+    total, expected = sum(n.values()), set()
+    for p in set(seen[0]) | set(seen[1]):
+        a, b = seen[1][p], seen[0][p]
+        c, d = n[1] - a, n[0] - b
+        if a + b >= toxicity.MIN_ROWS and c + d > 0:
+            if total * (a * d - b * c) ** 2 / ((a + b) * (c + d) * n[0] * n[1]) >= toxicity.MIN_CHI_SQUARE:
+                expected.add(p)
+    sample = docs.join(marks.withColumnRenamed("toxic", "label"), "doc_id")
+    sample = sample.where(~sample.doc_id.isin(sorted(held))).select("text", "label")
+    assert set(toxicity.choose_places(sample, n[0], n[1]).tolist()) == expected
+
+    model = toxicity.train(docs, marks)
+    scored = docs.withColumn("s", toxicity.score(model, spark)(F.col("text"))).collect()
+    for r in scored:
+        margin = model.bias + sum(float(model.weights[p]) for p in {place(k) for k in keys(r["text"])})
+        assert abs(r["s"] - 1 / (1 + np.exp(-margin))) < 1e-9

@@ -178,12 +178,16 @@ def fit(
     """Weights and bias of the penalised logistic model, by accelerated gradient steps.
 
     ``(rows, places)`` are the features present; ``changes`` has a row per swap, the difference
-    of its features, and ``weight`` sums to 1 over them.
+    of its features, and ``weight`` sums to 1 over them. Steps stay below what the whole curvature
+    allows, each part of which is at most its trace.
     """
     n = len(labels)
     w, bias = np.zeros(width), float(np.log((labels.sum() + 0.5) / (n - labels.sum() + 0.5)))
     per_row = np.bincount(rows, minlength=n).mean() + 1
-    rate = 4.0 / (per_row + 1)
+    curvature = per_row / 4 + RIDGE
+    if len(changes):
+        curvature += 2 * SWAP_PENALTY * float(weight @ (changes * changes).sum(axis=1)) / per_row
+    rate = 1 / curvature
     seen, seen_bias, last, last_bias = w.copy(), bias, w.copy(), bias
     for step in range(1, STEPS + 1):
         margin = np.bincount(rows, weights=seen[places], minlength=n) + seen_bias
@@ -195,6 +199,8 @@ def fit(
         momentum = (step - 1) / (step + 2)
         seen, seen_bias = w + momentum * (w - last), bias + momentum * (bias - last_bias)
         last, last_bias = w, bias
+    if not (np.isfinite(w).all() and np.isfinite(bias)):
+        raise ArithmeticError("the toxicity model's weights are not finite")
     return w, bias
 
 
@@ -205,12 +211,19 @@ class Model(NamedTuple):
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the bounded sample of labelled documents outside the held-out fold."""
-    weights = np.zeros(1 << PLACE_BITS, "f4")
+    tables = Tables(docs.sparkSession)
     chosen = labels_of(labels, "toxic").where(~F.col("held_out")).orderBy(F.xxhash64("_doc"), "_doc")
     # At most TRAIN_ROWS pairs of numbers, so this side is small whatever the corpus.
-    picked = Tables(docs.sparkSession).cut(chosen.limit(TRAIN_ROWS).select("_doc", "label"), "picked")
+    picked = tables.cut(chosen.limit(TRAIN_ROWS).select("_doc", "label"), "picked")
     sample = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_doc"))
-    sample = Tables(docs.sparkSession).cut(sample.select("text", F.col("label").cast("int").alias("label")), "sample")
+    sample = tables.cut(sample.select("text", F.col("label").cast("int").alias("label")), "sample")
+    model = _trained(sample)
+    tables.drop(picked, sample)
+    return model
+
+
+def _trained(sample: DataFrame) -> Model:
+    weights = np.zeros(1 << PLACE_BITS, "f4")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     negatives, positives = sizes.get(0, 0), sizes.get(1, 0)
     if not negatives or not positives:
@@ -249,7 +262,8 @@ def score(model: Model, spark) -> callable:
         for block in blocks(texts):
             found = features(block, wanted)
             margin = np.bincount(found.rows, weights=weights[found.places], minlength=block.rows) + bias
-            out[block.first : block.first + block.rows] = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
+            with np.errstate(over="ignore"):
+                out[block.first : block.first + block.rows] = 1 / (1 + np.exp(-margin))
         return pa.array(out)
 
     return lambda text: scored(F.coalesce(text, F.lit("")))
