@@ -1,8 +1,10 @@
-"""Rules looked up by digest, by join and by comparing every rule."""
+"""Rules looked up by digest, shipped or dealt by ranges, against comparing every rule."""
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.llm import url_filter
 from weftline.llm.settings import URL_RULES
@@ -40,25 +42,36 @@ MORE = [*URL_RULES, ("a.net", "/", "allow"), ("net", "/", "allow"), ("é.net", "
 
 
 @pytest.mark.parametrize("rules", [URL_RULES, MORE, []])
-@pytest.mark.parametrize("most", [url_filter.MAX_RULES, 0])
-def test_against_every_rule(spark, rules, most):
+@pytest.mark.parametrize("bounds", [{}, {"max_rules": -1}, {"max_rules": -1, "range_bytes": 40}])
+def test_against_every_rule(spark, rules, bounds):
+    """By the shipped file, and beyond its bound by one and by many ranges of digests."""
     rows = [(i, u, "x") for i, u in enumerate(pages())]
     df = spark.createDataFrame(rows, "page_id bigint, url string, host string")
     listed = spark.createDataFrame([*rules, (None, "/", "block"), ("", "/", "block")], "host string, path string, verdict string")
-    got = url_filter.judge_urls(df, listed, max_rules=most if rules else url_filter.MAX_RULES).collect()
+    got = url_filter.judge_urls(df, listed, **bounds).collect()
     assert len(got) == len(rows)
     for r in got:
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute(r["page"]["url"], rules), r
 
 
+def test_digests_are_those_of_spark(spark):
+    keys = ["", "a", "net\x00/", "é" * 40, "x" * 1000]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select(F.xxhash64("k").alias("h")).collect()
+    assert [r["h"] % (1 << 64) for r in df] == [
+        url_filter.xxhash.xxh64_intdigest(k.encode(), url_filter.DIGEST_SEED) for k in keys
+    ]
+
+
 def test_equal_digests_are_told_apart(tmp_path, monkeypatch):
-    monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda key: 7)
+    monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda key, seed: 7)
     file = tmp_path / "digests"
-    file.write_bytes(url_filter._packed([("a", "/", True), ("b", "/", False), ("c", "/", True)]))
-    array = url_filter.DigestArray(str(file))
+    file.write_bytes(url_filter._merged([("a", "/", True), ("b", "/", False), ("c", "/", True)]))
+    array = url_filter.DigestArray(np.memmap(file, dtype="u1", mode="r"))
     assert array.probe([b"b\x00/", b"c\x00/", b"d\x00/", b"a\x00/"]) == [0, 1, None, 1]
 
 
 def test_empty_pages(spark):
     listed = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    none = spark.createDataFrame([], "page_id bigint, url string")
+    assert url_filter.judge_urls(none, listed, max_rules=-1).count() == 0
     assert url_filter.judge_urls(spark.createDataFrame([], "page_id bigint, url string"), listed).count() == 0

@@ -7,8 +7,9 @@ keys at once: every parent domain of the host with every prefix of the path that
 some rule's path. One vectorised binary search finds the digests, and a digest that is found
 counts only if the stored strings are equal too.
 
-The file is shipped only up to ``MAX_RULES`` rules, whose size is bounded; a longer list is
-joined instead, candidates and rules meeting on their key.
+A file is shipped only up to ``MAX_RULES`` rules, whose size is bounded. A longer list is dealt
+out by ranges of the digest, each with its own sorted array in the task that holds the range, and
+the URLs' distinct candidate keys go to the task of their digest.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and no rule; where
 no rule fits, the list does not hold the URL and it is allowed. The longest rule wins (host and
@@ -25,16 +26,20 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.shared import shared_dir
+from weftline.shared import Tables, shared_dir
 
 MAX_RULES = 2_000_000
 MAX_KEY_BYTES = 64 << 20
 
+# The seed that Spark's own xxhash64 has, so that both sides can make the digest.
+DIGEST_SEED = 42
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SEP = "\x00"
 
@@ -49,28 +54,32 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), path
 
 
-def _packed(rules: list[tuple[str, str, bool]]) -> bytes:
+def _packed(keyed: dict[bytes, bool], path_lengths: list[int]) -> bytes:
     """The digest file: counts, path lengths, sorted digests, string ends, verdicts, strings."""
-    keyed: dict[str, bool] = {}
-    for host, path, block in rules:
-        key = f"{host}{_SEP}{path}"
-        keyed[key] = keyed.get(key, False) or block
-    keys = [k.encode() for k in keyed]
-    digests = np.array([xxhash.xxh64_intdigest(k) for k in keys], dtype="<u8")
+    keys = list(keyed)
+    digests = np.array([xxhash.xxh64_intdigest(k, DIGEST_SEED) for k in keys], dtype="<u8")
     order = np.argsort(digests, kind="stable")
     ends = np.cumsum([len(keys[i]) for i in order], dtype="<u8")
     blocks = np.array(list(keyed.values()), dtype="u1")[order]
-    lengths = np.array(sorted({len(p.encode()) for _, p, _ in rules}), dtype="<u8")
+    lengths = np.array(path_lengths, dtype="<u8")
     head = struct.pack("<QQ", len(keys), len(lengths))
     texts = b"".join(keys[i] for i in order)
     return head + lengths.tobytes() + digests[order].tobytes() + ends.tobytes() + blocks.tobytes() + texts
 
 
+def _merged(rules: list[tuple[str, str, bool]]) -> bytes:
+    """The file of all rules; of repeated ones a block counts."""
+    keyed: dict[bytes, bool] = {}
+    for host, path, block in rules:
+        key = f"{host}{_SEP}{path}".encode()
+        keyed[key] = keyed.get(key, False) or block
+    return _packed(keyed, sorted({len(p.encode()) for _, p, _ in rules}))
+
+
 class DigestArray:
-    """A mapped digest file."""
+    """Sorted digests over the bytes of a digest file, mapped or in memory."""
 
-    def __init__(self, path: str) -> None:
-        data = np.memmap(path, dtype="u1", mode="r")
+    def __init__(self, data: np.ndarray) -> None:
         n, lengths = struct.unpack("<QQ", data[:16].tobytes())
         parts, at = [], 16
         for count, kind in ((lengths, "<u8"), (n, "<u8"), (n, "<u8"), (n, "u1")):
@@ -86,7 +95,8 @@ class DigestArray:
         found: list[int | None] = [None] * len(keys)
         if not keys or not len(self.digests):
             return found
-        wanted = np.fromiter(map(xxhash.xxh64_intdigest, keys), dtype="u8", count=len(keys))
+        digests = (xxhash.xxh64_intdigest(k, DIGEST_SEED) for k in keys)
+        wanted = np.fromiter(digests, dtype="u8", count=len(keys))
         first = np.searchsorted(self.digests, wanted)
         inside = first < len(self.digests)
         hits = np.flatnonzero(inside)[self.digests[first[inside]] == wanted[inside]]
@@ -103,7 +113,7 @@ class DigestArray:
 
 @lru_cache(maxsize=4)
 def _mapped(name: str) -> DigestArray:
-    return DigestArray(SparkFiles.get(name))
+    return DigestArray(np.memmap(SparkFiles.get(name), dtype="u1", mode="r"))
 
 
 def candidates(host: str, path: str, lengths: list[int]) -> Iterator[tuple[int, int, bytes]]:
@@ -134,7 +144,7 @@ def _ship(spark: SparkSession, content: bytes) -> str:
 
 
 def _by_digest(urls: DataFrame, rules: list[tuple[str, str, bool]]) -> DataFrame:
-    name = _ship(urls.sparkSession, _packed(rules))
+    name = _ship(urls.sparkSession, _merged(rules))
 
     @F.pandas_udf("struct<rule string, block boolean>")
     def look_up(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
@@ -156,39 +166,76 @@ def _by_digest(urls: DataFrame, rules: list[tuple[str, str, bool]]) -> DataFrame
     return urls.withColumn("_found", look_up("host", "path"))
 
 
-def _by_join(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same for lists too long to ship: distinct hosts and paths meet the rules by key."""
+def _by_range(urls: DataFrame, rules: DataFrame, range_bytes: int) -> DataFrame:
+    """The same with the digests dealt out by range: distinct keys meet the rules of their range."""
+    tables = Tables(urls.sparkSession)
     lengths = rules.select(F.octet_length("path").alias("n")).distinct()
     # Distinct lengths are bounded by the longest path, not by the number of rules.
     widths = sorted(r["n"] for r in lengths.collect())
-    seen = urls.select("host", "path").distinct()
-    labels = F.size(F.split("host", r"\."))
-    parents = F.transform(
-        F.sequence(F.lit(1), labels),
-        lambda k: F.substring_index(F.col("host"), ".", -k),
-    )
-    raw = F.encode("path", "UTF-8")
-    prefixes = [F.when(F.octet_length("path") >= n, F.decode(F.substring(raw, 1, n), "UTF-8")) for n in widths]
-    asked = (
-        seen.where("host <> ''")
-        .select("host", "path", F.explode(parents).alias("_host"))
-        .select("host", "path", "_host", F.explode(F.array(*prefixes)).alias("_path"))
-        .where("_path IS NOT NULL")
-    )
-    unique = rules.groupBy(F.col("host").alias("_host"), F.col("path").alias("_path")).agg(
-        F.max(F.col("verdict") == "block").alias("block")
-    )
-    size = F.octet_length("_host") + F.octet_length("_path")
-    best = F.max(
-        F.struct(size.alias("n"), F.octet_length("_host").alias("h"), F.concat("_host", "_path").alias("rule"), "block")
+    weight = rules.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 32)).first()[0]
+    parts = max(1, -(-(weight or 0) // range_bytes))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, totals, in_hosts, keys = [], [], [], []
+            hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
+            for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
+                for total, in_host, key in candidates(host, path, widths):
+                    rows.append(i)
+                    totals.append(total)
+                    in_hosts.append(in_host)
+                    keys.append(key)
+            at = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("host").take(at),
+                    batch.column("path").take(at),
+                    pa.array(totals, pa.int32()),
+                    pa.array(in_hosts, pa.int32()),
+                    pa.array(keys, pa.binary()),
+                ],
+                names=["host", "path", "total", "in_host", "key"],
+            )
+
+    # Spark's xxhash64 is the digest of these bytes; its upper bits, unsigned, are its range.
+    def ranged(df: DataFrame) -> DataFrame:
+        top = F.shiftrightunsigned(F.xxhash64("key"), 33)
+        return df.withColumn("part", F.shiftright(top * F.lit(parts), 31))
+
+    pairs = urls.select("host", "path").distinct()
+    kinds = "host string, path string, total int, in_host int, key binary"
+    wanted = tables.cut(pairs.mapInArrow(asked, kinds), "candidates")
+    key = F.encode(F.concat("host", F.lit(_SEP), "path"), "UTF-8")
+    blocked = F.max(F.col("verdict") == "block").alias("block")
+    unique = rules.groupBy(key.alias("key")).agg(blocked)
+
+    def probe(questions: pa.Table, held: pa.Table) -> pa.Table:
+        keyed = dict(zip(held.column("key").to_pylist(), held.column("block").to_pylist(), strict=True))
+        keys = questions.column("key").to_pylist()
+        array = DigestArray(np.frombuffer(_packed(keyed, widths), "u1"))
+        found = [(k, bool(block)) for k, block in zip(keys, array.probe(keys), strict=True) if block is not None]
+        return pa.table(
+            {"key": pa.array([k for k, _ in found], pa.binary()), "block": pa.array([b for _, b in found], pa.bool_())}
+        )
+
+    questions = ranged(wanted.select("key").distinct()).groupBy("part")
+    found = questions.cogroup(ranged(unique).groupBy("part")).applyInArrow(probe, "key binary, block boolean")
+    found = tables.cut(found, "found")
+    rule = F.concat(
+        F.decode(F.expr("substring(key, 1, in_host)"), "UTF-8"), F.decode(F.expr("substring(key, in_host + 2)"), "UTF-8")
     )
-    found = asked.join(unique, ["_host", "_path"]).groupBy("host", "path").agg(best.alias("_best"))
-    found = found.select("host", "path", F.struct("_best.rule", "_best.block").alias("_found"))
-    return urls.join(found, ["host", "path"], "left")
+    best = F.max(F.struct("total", "in_host", rule.alias("rule"), "block"))
+    judged = wanted.join(found, "key").groupBy("host", "path").agg(best.alias("_best"))
+    judged = judged.select("host", "path", F.struct("_best.rule", "_best.block").alias("_found"))
+    return urls.join(tables.cut(judged, "judged"), ["host", "path"], "left")
 
 
 def judge_urls(
-    pages: DataFrame, rules: DataFrame, url: str = "url", max_rules: int = MAX_RULES
+    pages: DataFrame,
+    rules: DataFrame,
+    url: str = "url",
+    max_rules: int = MAX_RULES,
+    range_bytes: int = MAX_KEY_BYTES,
 ) -> DataFrame:
     """``(page, host, path, rule, verdict)``: every row of ``pages`` and what the rules say.
 
@@ -205,7 +252,7 @@ def judge_urls(
         listed = [(r["host"], r["path"], r["verdict"] == "block") for r in known.collect()]
         judged = _by_digest(urls, listed)
     else:
-        judged = _by_join(urls, known)
+        judged = _by_range(urls, known, range_bytes)
     block = F.coalesce(F.col("_found.block"), F.lit(False))
     return judged.select(
         "page",
