@@ -46,7 +46,7 @@ SHARDS = 3
 TOP = 2_000
 
 # Rows gathered by a task before they are added up, and groups a language's ranking starts in.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 RANK_GROUPS = 32
 
 _WORD_MEMBERS = NOT_BLANK.member.copy()
