@@ -5,6 +5,7 @@ from __future__ import annotations
 from weftline.operators.basics import hash_threshold
 from weftline.operators.expwindow import top_level
 from weftline.plans.settings import (
+    CLUSTERS,
     COEFFICIENTS,
     DEGREE,
     HASHES,
@@ -191,6 +192,28 @@ def _moments() -> str:
     return f"SELECT count(*) AS n, {', '.join(parts)} FROM lineitem"
 
 
+def _least_squares(by: str) -> str:
+    """The normal equations of degree 2, by determinants."""
+    x, y = "(l_quantity / 50)", "(l_extendedprice / 100000)"
+    sums = [f"sum(pow({x}, {i})) AS s{i}" for i in range(5)] + [f"sum(pow({x}, {i}) * {y}) AS t{i}" for i in range(3)]
+    keyed = f"{by} AS key, " if by else ""
+    whole = "s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2)"
+    parts = [
+        "t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)",
+        "s0 * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)",
+        "s0 * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2)",
+    ]
+    solved = ", ".join(f"({p}) / ({whole}) AS c{i}" for i, p in enumerate(parts))
+    group = f"GROUP BY {by}" if by else ""
+    names = "key, " if by else ""
+    rows = " UNION ALL ".join(
+        f"SELECT {names}CAST({i} AS INTEGER) AS power, round(c{i}, 6) AS coefficient FROM solved" for i in range(3)
+    )
+    return f"""
+        WITH sums AS (SELECT {keyed}{", ".join(sums)} FROM lineitem {group}),
+        solved AS (SELECT {names}{solved} FROM sums) {rows}"""
+
+
 def _places(column: str, chosen: list[int]) -> str:
     return ", ".join(f"({place}, {value})" for place, value in enumerate(chosen))
 
@@ -341,6 +364,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT round(sum(pow(l_extendedprice / 100000 - ({_value("(l_quantity / 50)")}), 2)), 6) AS sse
             FROM lineitem""",
         "poly_moments": _moments(),
+        "poly_least_squares": _least_squares(""),
+        "poly_least_squares_grouped": _least_squares("l_returnflag"),
+        "link_labels": f"""{CENTROID.split("SELECT step - 1 AS step")[0]},
+            merges AS (
+                SELECT l, r, id FROM walk
+                WHERE l IS NOT NULL AND step <= (SELECT count(*) FROM embeddings) - {CLUSTERS}),
+            climb AS (
+                SELECT id AS leaf, id AS node FROM walk WHERE step = 0
+                UNION ALL SELECT c.leaf, m.id FROM climb c JOIN merges m ON c.node IN (m.l, m.r)),
+            tops AS (SELECT leaf, max(node) AS top FROM climb GROUP BY leaf),
+            named AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS leaf FROM embeddings)
+            SELECT vec_id AS id, min(vec_id) OVER (PARTITION BY top) AS cluster FROM tops JOIN named USING (leaf)""",
         "ones_exact": EXACT,
         "expwin_blocks": f"""WITH {_live("SELECT key, max(pos) + 1 AS n FROM bits GROUP BY key")}
             SELECT key, n, CAST(level AS INTEGER) AS level, block, block * (1 << level) AS first_pos,

@@ -11,6 +11,7 @@ from weftline.operators import (
     basics,
     expwindow,
     kmeans,
+    least_squares,
     linkage,
     matrix,
     minhash,
@@ -22,6 +23,7 @@ from weftline.operators import (
 )
 from weftline.plans import inputs
 from weftline.plans.settings import (
+    CLUSTERS,
     COEFFICIENTS,
     DEGREE,
     HASHES,
@@ -261,6 +263,12 @@ def _linked(linkage_of: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: _rounded(linkage_of(inputs.points(spark, folder)), "height")
 
 
+def link_labels(spark, folder):
+    """The points' clusters when so many are left."""
+    points = inputs.points(spark, folder)
+    return linkage.cluster_labels(linkage.centroid_linkage(points, CLUSTERS), points, CLUSTERS)
+
+
 # --- MinHash --------------------------------------------------------------------------------
 
 
@@ -371,6 +379,20 @@ def poly_fit_grouped(spark, folder):
     return _split_coefficients(fitted, "key")
 
 
+def _powers(fitted: DataFrame, *keep: str) -> DataFrame:
+    cells = F.posexplode("coefficients").alias("power", "coefficient")
+    return _rounded(fitted.select(*keep, cells), "coefficient")
+
+
+def poly_least_squares(spark, folder):
+    return _powers(least_squares.fit(inputs.samples(spark, folder), DEGREE))
+
+
+def poly_least_squares_grouped(spark, folder):
+    samples = inputs.samples(spark, folder).withColumnRenamed("l_returnflag", "key")
+    return _powers(least_squares.fit_by_key(samples, DEGREE), "key")
+
+
 # --- exponential windows --------------------------------------------------------------------
 
 
@@ -450,6 +472,7 @@ def queries() -> dict[str, Query]:
         "link_complete": _linked(linkage.complete_linkage),
         "link_average": _linked(linkage.average_linkage),
         "link_centroid": _linked(linkage.centroid_linkage),
+        "link_labels": link_labels,
         "hash_rows": hash_rows,
         "minhash_signatures": minhash_signatures,
         "minhash_overlap": _compared("overlap"),
@@ -466,6 +489,8 @@ def queries() -> dict[str, Query]:
         "poly_moments": poly_moments,
         "poly_fit": poly_fit,
         "poly_fit_grouped": poly_fit_grouped,
+        "poly_least_squares": poly_least_squares,
+        "poly_least_squares_grouped": poly_least_squares_grouped,
         "ones_exact": ones_exact,
         "expwin_blocks": expwin_blocks,
         "expwin_estimate": expwin_estimate,

@@ -5,6 +5,7 @@ from weftline.operators.minhash import hash_params
 K = 5
 ROUNDS = 3
 RADIUS = 1.1
+CLUSTERS = 10
 
 HASHES = hash_params(30, seed=7)
 MODULUS = 100_000
