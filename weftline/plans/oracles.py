@@ -117,6 +117,34 @@ CENTROID = """
     FROM walk WHERE l IS NOT NULL"""
 
 
+def _linked(between: str) -> str:
+    """One step per merge: every point's cluster, and a row without a point for the merge."""
+    return f"""
+    WITH RECURSIVE points AS (
+        SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    pairs AS (
+        SELECT a.id AS a, b.id AS b, list_distance(a.v, b.v) AS d FROM points a JOIN points b ON a.id < b.id),
+    walk AS (
+        SELECT CAST(0 AS BIGINT) AS step, id, id AS c, CAST(NULL AS BIGINT) AS l, CAST(NULL AS BIGINT) AS r,
+               CAST(NULL AS DOUBLE) AS d, CAST(NULL AS BIGINT) AS size
+        FROM points
+        UNION ALL (
+            WITH best AS (
+                SELECT min({{'d': d, 'lo': lo, 'hi': hi}}) AS m FROM (
+                    SELECT least(x.c, y.c) AS lo, greatest(x.c, y.c) AS hi, {between}(p.d) AS d
+                    FROM pairs p JOIN walk x ON x.id = p.a JOIN walk y ON y.id = p.b
+                    WHERE x.c <> y.c GROUP BY ALL))
+            SELECT w.step + 1, w.id,
+                   CASE WHEN w.c IN (m.lo, m.hi) THEN (SELECT count(*) FROM points) + w.step ELSE w.c END,
+                   NULL, NULL, NULL, NULL
+            FROM walk w, best WHERE w.id IS NOT NULL AND m IS NOT NULL
+            UNION ALL
+            SELECT w.step + 1, NULL, (SELECT count(*) FROM points) + w.step, m.lo, m.hi, m.d, count(*)
+            FROM walk w, best WHERE w.id IS NOT NULL AND w.c IN (m.lo, m.hi) GROUP BY w.step, m))
+    SELECT step - 1 AS step, l AS left_id, r AS right_id, c AS new_id, round(d, 6) AS height, size
+    FROM walk WHERE l IS NOT NULL"""
+
+
 def _kmeans(rounds: int) -> str:
     """Points, start centres ``c0`` and, per round i, assignment ``a<i>`` and centres ``c<i>``."""
     steps = [
@@ -314,6 +342,9 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_changed": f"""{_kmeans(1)}
             SELECT count(*) > 0 AS changed FROM c1 WHERE v NOT IN (SELECT v FROM c0)""",
         "kmeans_fit": f"{_kmeans(ROUNDS)} {_cells(f'c{ROUNDS}')}",
+        "link_single": _linked("min"),
+        "link_complete": _linked("max"),
+        "link_average": _linked("avg"),
         "link_centroid": CENTROID,
         "hash_rows": f"SELECT p_partkey, {hashed} FROM part",
         "minhash_signatures": f"""{SETS}
