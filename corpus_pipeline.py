@@ -2,6 +2,12 @@
 
 Each stage is given what the stage before kept, written and read again as Parquet, and applies
 one operator to all of it. All but the last return the columns of documents.
+
+Defined results: null and empty texts are not toxic, fail the quality rules' base of 50 words and
+so go there; rows without doc_id are judged like others; of repeated rows one stays; without
+labels nothing is learned, so only the base rule rejects; without benchmark items nothing is
+contaminated; an empty table gives an empty table; further columns go with their rows up to the
+last stage, which returns its own.
 """
 
 from __future__ import annotations
