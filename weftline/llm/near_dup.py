@@ -518,8 +518,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows = tables.cut(_grouped(docs, tables).where("root IS NOT NULL"), "grouped")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
     stays = rows.groupBy("root").agg(F.min(order).alias("first"))
-    other = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark")))
-    leaves = rows.join(stays, "root").where(other).select("doc_id", "mark").distinct()
+    stays = stays.select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark"))
+    # By row and not by component, which may hold any share of all rows.
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+    leaves = rows.select("doc_id", "mark").distinct().join(stays, same, "left_anti")
     kept = without_rows(docs, tables.cut(leaves, "leaves"))
     repeated = rows.groupBy("doc_id", "mark").count().where("count > 1").select("doc_id", "mark")
     repeated = tables.cut(repeated, "repeated")
