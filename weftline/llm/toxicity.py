@@ -215,7 +215,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = labels_of(labels, "toxic").where(~F.col("held_out")).orderBy(F.xxhash64("_doc"), "_doc")
     # At most TRAIN_ROWS pairs of numbers, so this side is small whatever the corpus.
     picked = tables.cut(chosen.limit(TRAIN_ROWS).select("_doc", "label"), "picked")
-    sample = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_doc"))
+    texts = docs.select("doc_id", "text")
+    sample = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_doc"))
     sample = tables.cut(sample.select("text", F.col("label").cast("int").alias("label")), "sample")
     model = _trained(sample)
     tables.drop(picked, sample)
