@@ -180,6 +180,10 @@ def _round(sets: DataFrame, probes: DataFrame, lengths: DataFrame, groups: int,
     left = dealt(grouped(asking, "slice(set, lo + 1, hi - lo)"), "a", "b")
     right = dealt(grouped(sets.selectExpr(*renewed("id", "set")), "set"), "b", "a")
     keys = ["grp", "a", "b"]
+    # By number: what travels is little for the work it makes, and adaptive execution, which goes
+    # by size, would leave it to few tasks.
+    tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_best_in_lists(k), _FOUND)
 
 
