@@ -37,6 +37,8 @@ GROUP = 20_000
 LARGE = 4_096
 SALTS = 32
 
+# Different elements up to which overlaps are counted as matrix products.
+FEW_ELEMENTS = 512
 # Pairs of equal elements that a task holds at once.
 _AT_ONCE = 1 << 21
 
@@ -86,6 +88,21 @@ def _overlaps(left: _Sets, rows: np.ndarray, right: _Sets, others: np.ndarray):
         yield _Pairs(pair // len(others), pair % len(others), common, np.repeat(of, n)[first])
 
 
+def _of_few_elements(left: _Sets, rows: np.ndarray, right: _Sets, others: np.ndarray, element: int) -> _Pairs | None:
+    """The same for sets over few elements, as products of 0-1 matrices; pairs that share
+    ``element`` first."""
+    (owner, mine), (other, theirs) = left.entries(rows), right.entries(others)
+    names = np.unique(np.concatenate([mine, theirs]))
+    if len(names) > FEW_ELEMENTS:
+        return None
+    a, b = (np.zeros((len(x), len(names)), "f4") for x in (rows, others))
+    a[owner, np.searchsorted(names, mine)] = 1
+    b[other, np.searchsorted(names, theirs)] = 1
+    k = int(np.searchsorted(names, element))
+    i, j = np.nonzero(a[:, :k] @ b[:, :k].T == 0)
+    return _Pairs(i, j, (a @ b.T)[i, j].astype("i8"), np.full(len(i), element))
+
+
 def _best_in_lists(k: int):
     """Cogroup of probing sets (with positions ``lo`` to ``hi`` and a bound) and listed sets."""
 
@@ -111,7 +128,8 @@ def _best_in_lists(k: int):
                 others = r_owner[slice(*np.searchsorted(r_sorted, [element, element + 1]))]
                 if not len(others):
                     continue
-                for p in _overlaps(left, rows, right, others):
+                few = _of_few_elements(left, rows, right, others, element)
+                for p in [few] if few is not None else _overlaps(left, rows, right, others):
                     u, v = rows[p.left], others[p.right]
                     union = left.sizes[u] + right.sizes[v] - p.common
                     # Not below the k-th best so far, compared as fractions.
