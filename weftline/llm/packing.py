@@ -23,6 +23,7 @@ table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 import json
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -90,19 +91,24 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """A word of plain letters is one pre-token, which the model takes as it is."""
-        shown = word.lower().encode().decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(shown)])
+        shown = word.lower()
+        if not shown.isascii():
+            shown = shown.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
     def _learn(self, parts: set[str]) -> None:
         known, older = self.known, self.older
         for part in parts:
             stem = part.rstrip(".,")
-            ids = known.get(stem) or older.get(stem)
-            if ids is None and stem.isalpha() and max(stem) < _PLAIN:
-                ids = self._word(stem)
-            if ids is None or not stem.isalpha():
+            if not stem.isalpha():
                 known[part] = self._encode(part)
                 continue
+            ids = known.get(stem) or older.get(stem)
+            if ids is None:
+                if not stem.isascii() and max(stem) >= _PLAIN:
+                    known[part] = self._encode(part)
+                    continue
+                ids = self._word(stem)
             known[stem] = ids
             if tail := part[len(stem) :]:
                 if tail not in known:
