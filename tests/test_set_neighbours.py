@@ -53,6 +53,25 @@ def test_against_all_pairs(spark, seed, k):
     assert got == brute(rows, k)
 
 
+@pytest.mark.parametrize("seed, k, block_sets", [(6, 3, 40), (7, 6, 25), (8, 4, 1000)])
+def test_few_elements_by_blocks(spark, monkeypatch, seed, k, block_sets):
+    """Sets of very different sizes and copies, over elements that most of them share."""
+    rng = random.Random(seed)
+    rows = [(m, e) for m in range(180) for e in rng.sample(range(24), rng.choice([3, 9, 10, 22]))]
+    rows += [(500 + m, e) for m in range(40) for e in (1, 2, 3, 5, 8)]
+    monkeypatch.setattr(sn, "_by_lists", None)
+    got = found(sn.similar_sets(spark.createDataFrame(rows, SCHEMA), k, block_sets=block_sets))
+    assert got == brute(rows, k)
+
+
+def test_few_elements_by_lists(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(m, e) for m in range(120) for e in rng.sample(range(24), rng.choice([3, 9, 22]))]
+    monkeypatch.setattr(sn, "_by_blocks", None)
+    got = found(sn.similar_sets(spark.createDataFrame(rows, SCHEMA), 4, list_rows=30, few_elements=0))
+    assert got == brute(rows, 4)
+
+
 def test_large_sets_and_one_element_in_all(spark):
     rows = some_rows(3, 150, 100, 12) + [(m * 3 + 1, 500) for m in range(150)]
     rows += [(7000 + i, e) for i in range(4) for e in range(0, 90 - i)]

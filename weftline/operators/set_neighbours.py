@@ -14,7 +14,11 @@ and element at most. A list longer than ``LIST`` is cut into a grid of blocks, e
 
 Equal sets are one, with the lowest k + 1 of its members. Sets of more than ``LARGE`` elements,
 of which there are few, never travel: their overlaps are counted by a plain join of elements.
-Sets that are nearly alike, but not equal, are compared with each other inside tasks: that is
+
+Over few elements that most pairs share the lists spare nothing and meet a pair once for each
+element it shares. There blocks of sets of similar size are compared whole instead, by products
+of 0-1 matrices: first each with itself, then with the blocks whose sizes its k-th best allows.
+Both ways are exact. Sets that are nearly alike, but not equal, are compared with each other inside tasks: that is
 quadratic in such a family.
 """
 
@@ -39,6 +43,10 @@ SALTS = 32
 
 # Different elements up to which overlaps are counted as matrix products.
 FEW_ELEMENTS = 512
+# Sets of a block, where blocks are compared whole.
+BLOCK_SETS = 2_048
+# Sets of a block taken at once against another block.
+_STRIP = 512
 # Pairs of equal elements that a task holds at once.
 _AT_ONCE = 1 << 21
 
@@ -64,6 +72,13 @@ class _Sets:
         order = np.argsort(element, kind="stable")
         return owner[order], element[order]
 
+    def as_matrix(self, start: int, end: int, width: int) -> np.ndarray:
+        """Sets ``start`` to ``end`` as rows of zeros and ones."""
+        out = np.zeros((end - start, width), "f4")
+        n = self.sizes[start:end]
+        out[np.repeat(np.arange(len(n)), n), self.elements[self.bounds[start] : self.bounds[end]]] = 1
+        return out
+
 
 class _Pairs(NamedTuple):
     left: np.ndarray
@@ -147,6 +162,75 @@ def _best_in_lists(k: int):
     return compare
 
 
+def _best_in_blocks(k: int):
+    """Cogroup of two blocks of sets over few elements: the k most similar of the second for each of the first."""
+
+    def compare(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        out: list[np.ndarray] = []
+        if len(mine) and len(theirs):
+            left, right = _Sets(mine), _Sets(theirs.sort_by("id"))
+            width = 1 + int(max(left.elements.max(), right.elements.max()))
+            b = right.as_matrix(0, len(right.ids), width)
+            best = min(k, len(right.ids))
+            for start in range(0, len(left.ids), _STRIP):
+                ids, sizes = (x[start : start + _STRIP] for x in (left.ids, left.sizes))
+                common = (left.as_matrix(start, start + len(ids), width) @ b.T).astype("i8")
+                common[ids[:, None] == right.ids[None, :]] = 0
+                jaccard = common / (sizes[:, None] + right.sizes[None, :] - common)
+                least = np.partition(jaccard, -best, axis=1)[:, [-best]]
+                u, v = np.nonzero((jaccard >= least) & (common > 0))
+                # Within a row the sets come by id, so a stable sort leaves ties to the lowest.
+                order = np.lexsort((-jaccard[u, v], u))
+                u, v = u[order], v[order]
+                kept = np.arange(len(u)) - np.searchsorted(u, u) < k
+                u, v = u[kept], v[kept]
+                out.append(np.stack([ids[u], right.ids[v], common[u, v], sizes[u], right.sizes[v]]))
+        found = np.concatenate([np.zeros((5, 0), "i8"), *out], axis=1)
+        return pa.table({c: pa.array(found[i]) for i, c in enumerate(("id", "other", "common", "n", "m"))})
+
+    return compare
+
+
+def _meet_blocks(blocks: DataFrame, meetings: DataFrame, k: int) -> DataFrame:
+    """What the blocks of ``(a, b)`` find in each other."""
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = meetings.join(blocks.selectExpr("block AS a", *renewed("id", "set")), "a").repartition(tasks, "a", "b")
+    right = meetings.selectExpr(*renewed("a", "b")).join(blocks.selectExpr("block AS b", *renewed("id", "set")), "b").repartition(tasks, "a", "b")
+    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(_best_in_blocks(k), _FOUND)
+
+
+def _by_blocks(sets: DataFrame, k: int, block_sets: int) -> DataFrame:
+    """The k most similar sets of every set, from blocks compared whole."""
+    numbered = ordered_index(sets.select("id", "set", "n"), ["n", "id"], "at")
+    blocks = cut(numbered.selectExpr("id", "set", "n", f"CAST(at div {block_sets} AS INT) AS block"), "blocks")
+    spans = cut(blocks.groupBy("block").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "spans")
+    first = cut(_meet_blocks(blocks, spans.select(F.col("block").alias("a"), F.col("block").alias("b")), k), "found")
+
+    # What the worst set of a block knows as its k-th best bounds the sizes it may look for.
+    kth = first.groupBy("id").agg(F.count(F.lit(1)).alias("known"), F.min(F.col("common") / (F.col("n") + F.col("m") - F.col("common"))).alias("least"))
+    reach = blocks.join(kth, "id", "left").select("block", F.when(F.col("known") >= k, F.col("least")).otherwise(0.0).alias("least"))
+    reach = spans.join(reach.groupBy("block").agg(F.min("least").alias("least")), "block")
+    # At most one row per size, and a set over few elements has few sizes.
+    sizes = blocks.groupBy("n").agg(F.min("block").alias("first"), F.max("block").alias("last")).orderBy("n").collect()
+    if not sizes:
+        return first
+    # By size: the first block with a set at least, the last with one at most so large.
+    top = sizes[-1]["n"]
+    starts = [next(r["first"] for r in sizes if r["n"] >= n) for n in range(1, top + 1)]
+    ends = [max([r["last"] for r in sizes if r["n"] <= n], default=-1) for n in range(1, top + 1)]
+    # A block's bound in whole sizes, with slack for the rounding of the quotient.
+    low = F.greatest(F.lit(1), F.ceil(F.col("lo") * F.col("least") - 1e-9)).cast("int")
+    high = F.when(F.col("least") > 0, F.least(F.lit(top), F.floor(F.col("hi") / F.col("least") + 1e-9))).otherwise(top)
+    run = reach.withColumns({"low": low, "high": high.cast("int")}).withColumns(
+        {
+            "from": F.element_at(F.array(*map(F.lit, starts)), F.col("low")),
+            "to": F.element_at(F.array(*map(F.lit, ends)), F.col("high")),
+        }
+    )
+    meetings = run.select(F.col("block").alias("a"), F.explode(F.sequence("from", "to")).alias("b")).where("a <> b")
+    return first.unionByName(_meet_blocks(blocks, cut(meetings, "meetings"), k))
+
+
 _STRIDE = 40_503
 
 
@@ -214,25 +298,10 @@ def _expanded(sets: DataFrame, found: DataFrame, k: int) -> DataFrame:
     return _best_first(own.unionByName(theirs), k + 1, "id")
 
 
-def similar_sets(
-    elements: DataFrame, k: int, first: int = FIRST, list_rows: int = LIST, large: int = LARGE, group_rows: int = GROUP
-) -> DataFrame:
-    """``(member, rank, other, common, n, m)``: the k sets with the largest Jaccard index to each.
-
-    ``elements`` is ``(member, element)``. Only sets that share an element count; ties go to the
-    lowest member. ``n`` and ``m`` are the sizes of the two sets.
-    """
-    rows = cut(elements.where("member IS NOT NULL AND element IS NOT NULL").distinct(), "elements")
-    counted = rows.groupBy("element").agg(F.count(F.lit(1)).alias("f"))
-    ranked = cut(ordered_index(counted, ["f", "element"], "rank"), "ranks")
-    sizes = cut(rows.groupBy("member").agg(F.count(F.lit(1)).alias("n")), "sizes")
+def _by_lists(sets: DataFrame, ranked: DataFrame, k: int, first: int, list_rows: int, group_rows: int) -> DataFrame:
+    """What every set finds in the lists of its elements, enough for its k best members."""
     short = ranked.agg(F.count(F.when(F.col("f") <= list_rows, 1)), F.sum(F.when(F.col("f") <= list_rows, F.col("f")))).first()
     long_from, groups = short[0], max(1, (short[1] or 0) // group_rows)
-    named = rows.join(ranked.select("element", "rank"), "element").select("member", F.col("rank").cast("int").alias("rank"))
-    named = cut(named, "named")
-
-    few = sizes.where(F.col("n") <= large).select("member")
-    sets, of_member = _distinct_sets(named.join(few, "member", "left_semi"), k)
     lengths = ranked.where(F.col("rank") >= long_from)
     lengths = lengths.select((F.col("rank") + groups).alias("grp"), F.ceil(F.col("f") / list_rows).cast("int").alias("blocks"))
     lengths = cut(lengths, "lengths")
@@ -248,8 +317,40 @@ def similar_sets(
     # Positions p with (n - p) / n not below the bound.
     last = F.floor((F.col("n") * (F.col("of") - F.col("best"))) / F.col("of")).cast("int") + 1
     onward = known.select("id", "set", least.alias("lo"), F.least(F.col("n"), last).alias("hi"), "best", "of")
-    more = cut(_round(sets, onward, lengths, groups, long_from, k + 1), "found")
-    near = cut(_expanded(sets, found.unionByName(more), k), "near")
+    return found.unionByName(cut(_round(sets, onward, lengths, groups, long_from, k + 1), "found"))
+
+
+def similar_sets(
+    elements: DataFrame,
+    k: int,
+    first: int = FIRST,
+    list_rows: int = LIST,
+    large: int = LARGE,
+    group_rows: int = GROUP,
+    few_elements: int = FEW_ELEMENTS,
+    block_sets: int = BLOCK_SETS,
+) -> DataFrame:
+    """``(member, rank, other, common, n, m)``: the k sets with the largest Jaccard index to each.
+
+    ``elements`` is ``(member, element)``. Only sets that share an element count; ties go to the
+    lowest member. ``n`` and ``m`` are the sizes of the two sets.
+    """
+    rows = cut(elements.where("member IS NOT NULL AND element IS NOT NULL").distinct(), "elements")
+    counted = rows.groupBy("element").agg(F.count(F.lit(1)).alias("f"))
+    ranked = cut(ordered_index(counted, ["f", "element"], "rank"), "ranks")
+    sizes = cut(rows.groupBy("member").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    named = rows.join(ranked.select("element", "rank"), "element").select("member", F.col("rank").cast("int").alias("rank"))
+    named = cut(named, "named")
+
+    few = sizes.where(F.col("n") <= large).select("member")
+    sets, of_member = _distinct_sets(named.join(few, "member", "left_semi"), k)
+    # Pairs met in lists, against all pairs.
+    met, different = ranked.agg(F.sum(F.col("f").cast("double") ** 2), F.count(F.lit(1))).first()
+    if different <= few_elements and (met or 0) > 2 * sizes.count() ** 2:
+        found = cut(_by_blocks(sets, k + 1, block_sets), "found")
+    else:
+        found = _by_lists(sets, ranked, k, first, list_rows, group_rows)
+    near = cut(_expanded(sets, found, k), "near")
 
     # Every member of a set takes from its list what is not itself.
     listed = near.groupBy("id").agg(F.collect_list(F.struct("other", "common", "n", "m")).alias("list"))
