@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from weftline.operators.basics import hash_threshold
 from weftline.operators.expwindow import top_level
 from weftline.plans.settings import (
     CLUSTERS,
     COEFFICIENTS,
+    CUR_SEED,
+    CUR_SIZE,
     DEGREE,
     HASHES,
     K,
@@ -251,6 +255,51 @@ COLUMNS_AT = f"(VALUES {_places('c', MATRIX_COLUMNS)}) ci(pos, c)"
 ENTRIES = """(
     SELECT vec_id AS r, CAST(dim - 1 AS BIGINT) AS c, round(CAST(embedding[dim] AS DOUBLE), 6) AS v
     FROM embeddings, range(1, 65) t(dim)) e"""
+
+
+def _inverse(cell: Callable[[int, int], str]) -> list[str]:
+    """The nine cells of the inverse of a 3 x 3 matrix, by cofactors."""
+
+    def cofactor(i: int, j: int) -> str:
+        (a, b), (c, d) = ([x for x in range(3) if x != y] for y in (i, j))
+        sign = "" if (i + j) % 2 == 0 else "-"
+        return f"{sign}({cell(a, c)} * {cell(b, d)} - {cell(a, d)} * {cell(b, c)})"
+
+    det = "(" + " + ".join(f"{cell(0, j)} * {cofactor(0, j)}" for j in range(3)) + ")"
+    return [f"{cofactor(j, i)} / {det}" for i in range(3) for j in range(3)]
+
+
+def _inverted(gram: str) -> str:
+    """``(a, b, x)``: the inverse of a 3 x 3 table ``(a, b, x)``."""
+    at = ", ".join(f"max(x) FILTER (a = {i} AND b = {j}) AS g{i}{j}" for i in range(3) for j in range(3))
+    cells = ", ".join(_inverse(lambda i, j: f"g{i}{j}"))
+    return f"""(SELECT k // 3 AS a, k % 3 AS b, ([{cells}])[k + 1] AS x
+        FROM (SELECT {at} FROM {gram}), range(9) t(k))"""
+
+
+def _drawn(axis: str) -> str:
+    unit = f"((CAST('0x' || substr(md5('{CUR_SEED}:{axis}:' || id), 1, 8) AS BIGINT) + 1) / 4294967297.0::DOUBLE)"
+    return f"""(SELECT CAST(row_number() OVER (ORDER BY -ln({unit}) / norm2, id) - 1 AS INTEGER) AS pos, id, norm2
+        FROM (SELECT {axis} AS id, sum(v * v) AS norm2 FROM cells GROUP BY 1) WHERE norm2 > 0
+        QUALIFY pos < {CUR_SIZE})"""
+
+
+CUR = f"""
+    cells AS (
+        SELECT vec_id AS r, CAST(dim - 1 AS BIGINT) AS c, CAST(embedding[dim] AS DOUBLE) AS v
+        FROM embeddings, range(1, 65) t(dim)),
+    rows_drawn AS {_drawn("r")}, columns_drawn AS {_drawn("c")},
+    cm AS (SELECT r, pos AS j, c, v FROM cells JOIN columns_drawn ON c = id),
+    rm AS (SELECT c, pos AS i, r, v FROM cells JOIN rows_drawn ON r = id),
+    gram_c AS (SELECT x.j AS a, y.j AS b, sum(x.v * y.v) AS x FROM cm x JOIN cm y USING (r) GROUP BY ALL),
+    gram_r AS (SELECT x.i AS a, y.i AS b, sum(x.v * y.v) AS x FROM rm x JOIN rm y USING (c) GROUP BY ALL),
+    middle AS (
+        SELECT j, i, sum(cm.v * cells.v * rm.v) AS x
+        FROM cells JOIN cm ON cm.r = cells.r JOIN rm ON rm.c = cells.c GROUP BY ALL),
+    link AS (
+        SELECT g.a AS j, h.b AS i, sum(g.x * middle.x * h.x) AS u
+        FROM middle JOIN {_inverted("gram_c")} g ON g.b = middle.j JOIN {_inverted("gram_r")} h ON h.a = middle.i
+        GROUP BY ALL)"""
 SEEDED = f"md5('{SAMPLE_SEED}:' || o_orderkey)"
 
 
@@ -388,6 +437,19 @@ def oracle_sql() -> dict[str, str]:
         "matrix_intersection": f"""
             SELECT ri.pos AS row_pos, ci.pos AS col_pos, r, c, v
             FROM {ENTRIES} JOIN {ROWS_AT} USING (r) JOIN {COLUMNS_AT} USING (c)""",
+        "cur_drawn": f"""
+            WITH {CUR}
+            SELECT 'r' AS axis, pos, id, round(norm2, 6) AS norm2 FROM rows_drawn
+            UNION ALL SELECT 'c', pos, id, round(norm2, 6) FROM columns_drawn""",
+        "cur_link": f"""
+            WITH {CUR}
+            SELECT j AS col_pos, i AS row_pos, y.id AS c, x.id AS r, round(u, 6) AS u
+            FROM link JOIN columns_drawn y ON y.pos = j JOIN rows_drawn x ON x.pos = i""",
+        "cur_cells": f"""
+            WITH {CUR},
+            right_side AS (SELECT rm.c, j, sum(u * rm.v) AS x FROM link JOIN rm USING (i) GROUP BY ALL),
+            product AS (SELECT cm.r, e.c, sum(cm.v * x) AS approx FROM cm JOIN right_side e USING (j) GROUP BY ALL)
+            SELECT r, c, round(v, 6) AS v, round(approx, 6) AS approx FROM cells JOIN product USING (r, c)""",
         "poly_predict": f"""
             SELECT l_orderkey, l_linenumber, round({_value("(l_quantity / 50)")}, 6) AS predicted
             FROM lineitem""",

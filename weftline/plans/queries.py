@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import (
     basics,
+    cur,
     expwindow,
     kmeans,
     least_squares,
@@ -25,6 +26,8 @@ from weftline.plans import inputs
 from weftline.plans.settings import (
     CLUSTERS,
     COEFFICIENTS,
+    CUR_SEED,
+    CUR_SIZE,
     DEGREE,
     HASHES,
     K,
@@ -345,6 +348,27 @@ def matrix_intersection(spark, folder):
     return _rounded(met, "v")
 
 
+def cur_drawn(spark, folder):
+    """The rows and columns drawn by squared norm."""
+    entries = _entries(spark, folder)
+    found = [
+        cur.drawn(entries, axis, CUR_SIZE, CUR_SEED).select(F.lit(axis).alias("axis"), "pos", "id", "norm2")
+        for axis in ("r", "c")
+    ]
+    return _rounded(found[0].unionByName(found[1]), "norm2")
+
+
+def cur_link(spark, folder):
+    found = cur.cur(_entries(spark, folder), CUR_SIZE, CUR_SIZE, CUR_SEED)
+    return _rounded(cur.link_table(spark, found), "u")
+
+
+def cur_cells(spark, folder):
+    """Every cell beside its value in C U R."""
+    entries = _entries(spark, folder)
+    return _rounded(cur.approximated(entries, cur.cur(entries, CUR_SIZE, CUR_SIZE, CUR_SEED)), "v", "approx")
+
+
 # --- polynomials ----------------------------------------------------------------------------
 
 
@@ -484,6 +508,9 @@ def queries() -> dict[str, Query]:
         "matrix_rows": matrix_rows,
         "matrix_cols": matrix_cols,
         "matrix_intersection": matrix_intersection,
+        "cur_drawn": cur_drawn,
+        "cur_link": cur_link,
+        "cur_cells": cur_cells,
         "poly_predict": poly_predict,
         "poly_sse": poly_sse,
         "poly_moments": poly_moments,

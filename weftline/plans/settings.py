@@ -19,6 +19,8 @@ USERS = (1, 2)
 NEAREST_USERS = 5
 MATRIX_ROWS = [3, 7, 3]
 MATRIX_COLUMNS = [1, 5]
+CUR_SIZE = 3
+CUR_SEED = 1
 
 DEGREE = 2
 COEFFICIENTS = [0.1, 0.5, 0.2]
