@@ -204,6 +204,35 @@ def test_replay_holds_one_bucket_of_a_busy_user(spark, monkeypatch):
     assert len(got) == 6 * 5 + 15
 
 
+def test_replay_calls_follow_groups_not_keys(spark, monkeypatch, tmp_path):
+    """Many keys with few events each: a micro-batch visits a group of them at once."""
+    calls = tmp_path / "calls"
+
+    class Counted(streamed._PushInOrder):
+        def handleInputRows(self, key, rows, timerValues):
+            with open(calls, "a") as f:
+                f.write(".")
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(streamed, "_PushInOrder", Counted)
+    # Spark takes events of the first moment of 1970 for late ones.
+    events = some_events(spark, 300, 20).withColumn("ts", F.expr("ts + INTERVAL 1 DAY"))
+    got = streamed.replay(events, 20, 15, rows=10_000).collect()
+    assert {(r.key, r.n): r.estimate for r in got} == batch_estimates(events, 20, 15)
+    assert calls.stat().st_size <= 2 * 64 + 2
+
+
+def test_stream_keeps_null_and_large_keys_apart(spark):
+    """Keys beyond 2^53 beside a NULL one, with events whose ids are as large."""
+    keys = (None, 2**53, 2**53 + 1)
+    rows = [(k, i, 2**60 - i, i * (j + 1) % 3 % 2) for j, k in enumerate(keys) for i in range(30)]
+    df = spark.createDataFrame(rows, "key bigint, ms bigint, event_id bigint, bit int")
+    events = df.select("key", F.timestamp_millis(F.expr("1000 + ms div 4")).alias("ts"), "event_id", "bit")
+    got = {(r.key, r.n): r.estimate for r in streamed.replay(events, 20, 15).collect()}
+    assert {at for at in got if at[0] is None} == {(None, 10), (None, 20), (None, 30)}
+    assert {at: e for at, e in got.items() if at[0] is not None} == batch_estimates(events, 20, 15)
+
+
 def test_stream_goes_on_from_blocks(spark):
     events = some_events(spark, 4, 40)
     early, late = events.where("ts <= timestamp_millis(1500)"), events.where("ts > timestamp_millis(1500)")
