@@ -64,6 +64,27 @@ def test_few_elements_by_blocks(spark, monkeypatch, seed, k, block_sets):
     assert got == brute(rows, k)
 
 
+@pytest.mark.parametrize("copies", [1, 6])
+def test_blocks_send_on_only_what_may_be_among_the_best(spark, monkeypatch, copies):
+    """Nothing below the bound of the first round; nothing at all where own copies are the best."""
+    rng = random.Random(9)
+    sets = [rng.sample(range(24), 10) for _ in range(240)]
+    rows = [(1_000 * c + m, e) for c in range(copies) for m, s in enumerate(sets) for e in s]
+    sent, meet = [], sn._meet_blocks
+
+    def counted(*args):
+        met = meet(*args)
+        sent.append(met.count())
+        return met
+
+    monkeypatch.setattr(sn, "_meet_blocks", counted)
+    got = found(sn.similar_sets(spark.createDataFrame(rows, SCHEMA), 3, block_sets=60))
+    assert got == brute(rows, 3)
+    distinct = len({tuple(sorted(s)) for s in sets})
+    # Three other blocks, of which each set was sent its best four.
+    assert sent[1] < (3 * 4 * distinct if copies == 1 else 1)
+
+
 def test_few_elements_by_lists(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(m, e) for m in range(120) for e in rng.sample(range(24), rng.choice([3, 9, 22]))]

@@ -18,12 +18,16 @@ of which there are few, never travel: their overlaps are counted by a plain join
 Over few elements that most pairs share the lists spare nothing and meet a pair once for each
 element it shares. There blocks of sets of similar size are compared whole instead, by products
 of 0-1 matrices: first each with itself, then with the blocks whose sizes its k-th best allows.
+Sets travel as bits, once per block they meet; blocks grow with the sets up to ``BLOCK_SETS``, and a
+task takes them strip by strip. The second round sends on only what is not below a set's k-th
+best of the first, and a set with more than k members, which are its nearest, searches for none.
 Both ways are exact. Sets that are nearly alike, but not equal, are compared with each other inside tasks: that is
 quadratic in such a family.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -43,10 +47,14 @@ SALTS = 32
 
 # Different elements up to which overlaps are counted as matrix products.
 FEW_ELEMENTS = 512
-# Sets of a block, where blocks are compared whole.
-BLOCK_SETS = 2_048
-# Sets of a block taken at once against another block.
-_STRIP = 512
+# Sets of a block at most, where blocks are compared whole, and at least if there are enough of them
+# for ``SIDE`` blocks.
+BLOCK_SETS = 131_072
+LEAST_BLOCK = 2_048
+SIDE = 8
+# Sets of a block taken at once against so many of another block.
+_STRIP = 256
+_AGAINST = 16_384
 # Pairs of equal elements that a task holds at once.
 _AT_ONCE = 1 << 21
 
@@ -72,13 +80,6 @@ class _Sets:
         order = np.argsort(element, kind="stable")
         return owner[order], element[order]
 
-    def as_matrix(self, start: int, end: int, width: int) -> np.ndarray:
-        """Sets ``start`` to ``end`` as rows of zeros and ones."""
-        out = np.zeros((end - start, width), "f4")
-        n = self.sizes[start:end]
-        out[np.repeat(np.arange(len(n)), n), self.elements[self.bounds[start] : self.bounds[end]]] = 1
-        return out
-
 
 class _Pairs(NamedTuple):
     left: np.ndarray
@@ -162,73 +163,134 @@ def _best_in_lists(k: int):
     return compare
 
 
+class _BitSets:
+    """A block of sets as bits, in the order of size."""
+
+    def __init__(self, block: pa.Table) -> None:
+        block = block.sort_by([("n", "ascending"), ("id", "ascending")])
+        self.ids, self.sizes = (block.column(c).to_numpy() for c in ("id", "n"))
+        column = block.column("bits").combine_chunks()
+        offsets = np.frombuffer(column.buffers()[1], "i4")[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2], "u1")[offsets[0] : offsets[-1]]
+        self.bits = data.reshape(len(column), -1)
+        if "least" in block.column_names:
+            self.least = block.column("least").to_numpy()
+
+    def as_matrix(self, start: int, end: int) -> np.ndarray:
+        """Sets ``start`` to ``end`` as rows of zeros and ones."""
+        return np.unpackbits(self.bits[start:end], axis=1).astype("f4")
+
+
 def _best_in_blocks(k: int):
-    """Cogroup of two blocks of sets over few elements: the k most similar of the second for each of the first."""
+    """Cogroup of two blocks of sets over few elements: the k most similar of the second for each of
+    the first, none below its ``least``."""
 
     def compare(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         out: list[np.ndarray] = []
         if len(mine) and len(theirs):
-            left, right = _Sets(mine), _Sets(theirs.sort_by("id"))
-            width = 1 + int(max(left.elements.max(), right.elements.max()))
-            b = right.as_matrix(0, len(right.ids), width)
-            best = min(k, len(right.ids))
+            left, right = _BitSets(mine), _BitSets(theirs)
             for start in range(0, len(left.ids), _STRIP):
-                ids, sizes = (x[start : start + _STRIP] for x in (left.ids, left.sizes))
-                common = (left.as_matrix(start, start + len(ids), width) @ b.T).astype("i8")
-                common[ids[:, None] == right.ids[None, :]] = 0
-                jaccard = common / (sizes[:, None] + right.sizes[None, :] - common)
-                least = np.partition(jaccard, -best, axis=1)[:, [-best]]
-                u, v = np.nonzero((jaccard >= least) & (common > 0))
-                # Within a row the sets come by id, so a stable sort leaves ties to the lowest.
-                order = np.lexsort((-jaccard[u, v], u))
-                u, v = u[order], v[order]
-                kept = np.arange(len(u)) - np.searchsorted(u, u) < k
-                u, v = u[kept], v[kept]
-                out.append(np.stack([ids[u], right.ids[v], common[u, v], sizes[u], right.sizes[v]]))
+                out.append(_best_of_strip(left, slice(start, start + _STRIP), right, k))
         found = np.concatenate([np.zeros((5, 0), "i8"), *out], axis=1)
         return pa.table({c: pa.array(found[i]) for i, c in enumerate(("id", "other", "common", "n", "m"))})
 
     return compare
 
 
-def _meet_blocks(blocks: DataFrame, meetings: DataFrame, k: int) -> DataFrame:
-    """What the blocks of ``(a, b)`` find in each other."""
+def _best_of_strip(left: _BitSets, strip: slice, right: _BitSets, k: int) -> np.ndarray:
+    ids, sizes, least = left.ids[strip], left.sizes[strip].astype("i8"), left.least[strip].copy()
+    x = left.as_matrix(strip.start, strip.stop)
+    # Sizes within reach, with slack for the rounding of the quotients.
+    worst = least.min()
+    first = int(np.searchsorted(right.sizes, np.ceil(sizes.min() * worst - 1e-6)))
+    last = len(right.ids) if worst == 0 else int(np.searchsorted(right.sizes, sizes.max() / worst + 1e-6, "right"))
+    # The nearest sizes first, so that the bounds rise early.
+    middle = np.searchsorted(right.sizes, sizes[len(sizes) // 2])
+    parts = sorted(range(first, last, _AGAINST), key=lambda at: abs(at + _AGAINST // 2 - middle))
+    best = np.zeros((5, 0), "i8")
+    for at in parts:
+        end = min(at + _AGAINST, last)
+        y, other, m = right.as_matrix(at, end), right.ids[at:end], right.sizes[at:end].astype("i8")
+        # jaccard >= t is common >= t / (1 + t) (n + m); what is nearly so is looked at exactly.
+        share = (least / (1 + least)).astype("f4")
+        common = x @ y.T
+        if (least > 0).all():
+            over = np.concatenate([x, (-share * sizes)[:, None], -share[:, None]], axis=1, dtype="f4")
+            under = np.concatenate([y, np.ones((len(y), 1)), m[:, None]], axis=1, dtype="f4")
+            near = over @ under.T >= -2e-3
+        else:
+            jaccard = common / (sizes[:, None] + m[None, :] - common)
+            jaccard[ids[:, None] == other[None, :]] = 0
+            n = min(k, jaccard.shape[1])
+            near = jaccard >= np.partition(jaccard, -n, axis=1)[:, [-n]]
+        u, v = np.nonzero(near & (common > 0))
+        both = common[u, v].astype("i8")
+        keep = (ids[u] != other[v]) & (both / (sizes[u] + m[v] - both) >= least[u])
+        u, v, both = u[keep], v[keep], both[keep]
+        best = np.concatenate([best, np.stack([u, other[v], both, sizes[u], m[v]])], axis=1)
+        u, value = best[0], best[2] / (best[3] + best[4] - best[2])
+        order = np.lexsort((best[1], -value, u))
+        u, value = u[order], value[order]
+        nth = np.arange(len(u)) - np.searchsorted(u, u)
+        best = best[:, order[nth < k]]
+        full = nth == k - 1
+        least[u[full]] = np.maximum(least[u[full]], value[full])
+    return np.stack([ids[best[0]], *best[1:]])
+
+
+def _meet_blocks(blocks: DataFrame, searching: DataFrame, meetings: DataFrame, k: int) -> DataFrame:
+    """What the blocks of ``(a, b)`` find in each other; ``searching`` have a bound ``least``."""
     tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = meetings.join(blocks.selectExpr("block AS a", *renewed("id", "set")), "a").repartition(tasks, "a", "b")
-    right = meetings.selectExpr(*renewed("a", "b")).join(blocks.selectExpr("block AS b", *renewed("id", "set")), "b").repartition(tasks, "a", "b")
+    asking = searching.selectExpr("block AS a", *renewed("id", "bits", "n", "least"))
+    left = meetings.join(asking, "a").repartition(tasks, "a", "b")
+    right = meetings.selectExpr(*renewed("a", "b")).join(blocks.selectExpr("block AS b", *renewed("id", "bits", "n")), "b").repartition(tasks, "a", "b")
     return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(_best_in_blocks(k), _FOUND)
 
 
-def _by_blocks(sets: DataFrame, k: int, block_sets: int) -> DataFrame:
-    """The k most similar sets of every set, from blocks compared whole."""
-    numbered = ordered_index(sets.select("id", "set", "n"), ["n", "id"], "at")
-    blocks = cut(numbered.selectExpr("id", "set", "n", f"CAST(at div {block_sets} AS INT) AS block"), "blocks")
+def _as_bits(width: int):
+    """Lists of elements as bits of one length."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = _Sets(pa.Table.from_batches([batch]))
+            bits = np.zeros((len(sets.ids), width), "u1")
+            bits[np.repeat(np.arange(len(sets.ids)), sets.sizes), sets.elements] = 1
+            packed = [row.tobytes() for row in np.packbits(bits, axis=1)]
+            columns = {"bits": pa.array(packed, pa.binary())}
+            columns |= {c: batch.column(c) for c in ("id", "n", "members")}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return pack
+
+
+def _by_blocks(sets: DataFrame, k: int, block_sets: int, elements: int) -> DataFrame:
+    """The k most similar sets of every set of fewer members, from blocks compared whole."""
+    rows = sets.select("id", "set", F.col("n").cast("int").alias("n"), F.size("ids").alias("members"))
+    packed = rows.mapInArrow(_as_bits(elements), "bits binary, id bigint, n int, members int")
+    count = sets.count()
+    size = min(block_sets, max(LEAST_BLOCK, -(-count // SIDE)))
+    numbered = ordered_index(packed, ["n", "id"], "at")
+    blocks = cut(numbered.selectExpr("id", "bits", "n", "members", f"CAST(at div {size} AS INT) AS block"), "blocks")
     spans = cut(blocks.groupBy("block").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "spans")
-    first = cut(_meet_blocks(blocks, spans.select(F.col("block").alias("a"), F.col("block").alias("b")), k), "found")
+    searching = blocks.where(F.col("members") < k).drop("members")
+    own = spans.select(F.col("block").alias("a"), F.col("block").alias("b"))
+    first = cut(_meet_blocks(blocks, searching.withColumn("least", F.lit(0.0)), own, k), "found")
 
     # What the worst set of a block knows as its k-th best bounds the sizes it may look for.
     kth = first.groupBy("id").agg(F.count(F.lit(1)).alias("known"), F.min(F.col("common") / (F.col("n") + F.col("m") - F.col("common"))).alias("least"))
-    reach = blocks.join(kth, "id", "left").select("block", F.when(F.col("known") >= k, F.col("least")).otherwise(0.0).alias("least"))
-    reach = spans.join(reach.groupBy("block").agg(F.min("least").alias("least")), "block")
-    # At most one row per size, and a set over few elements has few sizes.
-    sizes = blocks.groupBy("n").agg(F.min("block").alias("first"), F.max("block").alias("last")).orderBy("n").collect()
-    if not sizes:
-        return first
-    # By size: the first block with a set at least, the last with one at most so large.
-    top = sizes[-1]["n"]
-    starts = [next(r["first"] for r in sizes if r["n"] >= n) for n in range(1, top + 1)]
-    ends = [max([r["last"] for r in sizes if r["n"] <= n], default=-1) for n in range(1, top + 1)]
-    # A block's bound in whole sizes, with slack for the rounding of the quotient.
-    low = F.greatest(F.lit(1), F.ceil(F.col("lo") * F.col("least") - 1e-9)).cast("int")
-    high = F.when(F.col("least") > 0, F.least(F.lit(top), F.floor(F.col("hi") / F.col("least") + 1e-9))).otherwise(top)
-    run = reach.withColumns({"low": low, "high": high.cast("int")}).withColumns(
-        {
-            "from": F.element_at(F.array(*map(F.lit, starts)), F.col("low")),
-            "to": F.element_at(F.array(*map(F.lit, ends)), F.col("high")),
-        }
-    )
-    meetings = run.select(F.col("block").alias("a"), F.explode(F.sequence("from", "to")).alias("b")).where("a <> b")
-    return first.unionByName(_meet_blocks(blocks, cut(meetings, "meetings"), k))
+    least = F.when(F.col("known") >= k, F.col("least")).otherwise(0.0).alias("least")
+    searching = cut(searching.join(kth, "id", "left").select("block", "id", "bits", "n", least), "searching")
+    asked = searching.groupBy("block").agg(F.min("least").alias("least"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
+    # One row per block, so a pair of blocks is a row of a small table.
+    asked = [tuple(r) for r in asked.collect()]
+    met = [
+        (a, r["block"])
+        for a, t, lo, hi in asked
+        for r in spans.collect()
+        if a != r["block"] and r["hi"] >= lo * t - 1e-6 and r["lo"] * t <= hi + 1e-6
+    ]
+    meetings = cut(sets.sparkSession.createDataFrame(met, "a int, b int"), "meetings")
+    return first.unionByName(_meet_blocks(blocks, searching, meetings, k))
 
 
 _STRIDE = 40_503
@@ -291,6 +353,8 @@ def _round(sets: DataFrame, probes: DataFrame, lengths: DataFrame, groups: int,
 
 def _expanded(sets: DataFrame, found: DataFrame, k: int) -> DataFrame:
     """The k + 1 best members for each set, its own among them."""
+    # Every set has a member, its id, that comes before all of a later set's.
+    found = _best_first(found, k + 1, "id").drop("rank")
     own = sets.select("id", F.explode("ids").alias("other"), *[F.col("n").cast("long").alias(c) for c in ("common", "n", "m")])
     members = sets.select(F.col("id").alias("_other"), "ids")
     theirs = found.withColumnRenamed("other", "_other").join(members, "_other")
@@ -347,27 +411,32 @@ def similar_sets(
     # Pairs met in lists, against all pairs.
     met, different = ranked.agg(F.sum(F.col("f").cast("double") ** 2), F.count(F.lit(1))).first()
     if different <= few_elements and (met or 0) > 2 * sizes.count() ** 2:
-        found = cut(_by_blocks(sets, k + 1, block_sets), "found")
+        found = cut(_by_blocks(sets, k + 1, block_sets, different), "found")
     else:
         found = _by_lists(sets, ranked, k, first, list_rows, group_rows)
     near = cut(_expanded(sets, found, k), "near")
 
     # Every member of a set takes from its list what is not itself.
-    listed = near.groupBy("id").agg(F.collect_list(F.struct("other", "common", "n", "m")).alias("list"))
-    pairs = of_member.join(cut(listed, "lists"), "id").select("member", F.inline("list")).where("member <> other")
+    listed = near.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "other", "common", "n", "m"))).alias("list"))
+    others = F.slice(F.filter("list", lambda x: x["other"] != F.col("member")), 1, k)
+    lists = of_member.join(cut(listed, "lists"), "id").select("member", others.alias("list"))
+    columns = ["list.other", "list.common", "list.n", "list.m"]
 
     # Large sets meet all others by their elements.
     many = sizes.where(F.col("n") > large)
-    if not many.isEmpty():
-        big = cut(named.join(many.select("member"), "member", "left_semi"), "large")
-        met = big.join(named.withColumnRenamed("member", "other"), "rank").where("member <> other")
-        met = met.groupBy("member", "other").agg(F.count(F.lit(1)).alias("common"))
-        met = cut(met, "overlaps")
-        met = met.unionByName(
-            met.join(many, F.col("other") == many["member"], "left_anti").select(
-                F.col("other").alias("member"), F.col("member").alias("other"), "common"
-            )
+    if many.isEmpty():
+        ranks = lists.select("member", F.posexplode("list").alias("at", "list"))
+        return ranks.select("member", (F.col("at") + 1).alias("rank"), *columns)
+    pairs = lists.select("member", F.explode("list").alias("list")).select("member", *columns)
+    big = cut(named.join(many.select("member"), "member", "left_semi"), "large")
+    met = big.join(named.withColumnRenamed("member", "other"), "rank").where("member <> other")
+    met = met.groupBy("member", "other").agg(F.count(F.lit(1)).alias("common"))
+    met = cut(met, "overlaps")
+    met = met.unionByName(
+        met.join(many, F.col("other") == many["member"], "left_anti").select(
+            F.col("other").alias("member"), F.col("member").alias("other"), "common"
         )
-        met = met.join(sizes, "member").join(sizes.select(F.col("member").alias("other"), F.col("n").alias("m")), "other")
-        pairs = pairs.unionByName(met.select(pairs.columns))
+    )
+    met = met.join(sizes, "member").join(sizes.select(F.col("member").alias("other"), F.col("n").alias("m")), "other")
+    pairs = pairs.unionByName(met.select(pairs.columns))
     return _best_first(pairs, k, "member").select("member", "rank", "other", "common", "n", "m")
