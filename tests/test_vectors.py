@@ -208,6 +208,29 @@ def test_points_that_are_not_finite_are_refused(spark, bad):
             run(df).collect()
 
 
+def test_pairs_within_measures_only_what_may_be_near(spark):
+    """Far from the origin, with distances at the radius; what is clearly too far is not measured."""
+    rng = np.random.default_rng(4)
+    for origin in (0.0, 1e6):
+        x = origin + np.round(rng.normal(0, 1, (600, 16)) * 64) / 64
+        x[300:400] = x[:100] + np.r_[0.25, np.zeros(15)]
+        order = np.argsort(x[:, 0], kind="stable")
+        x = x[order]
+        d = pairs.distances(x, x)
+        radius = 0.25
+        got = list(pairs.pairs_of_blocks(x, x, x[:, 0], x[:, 0], radius))
+        found = sorted((int(i), int(j), float(z)) for i, j, z in zip(*map(np.concatenate, zip(*got))))
+        expected = sorted((int(i), int(j), float(d[i, j])) for i, j in zip(*np.nonzero(d <= radius)))
+        assert found == expected and len(found) >= 800
+    measured = []
+    real = np.sqrt
+    pairs_measured = lambda a: (measured.append(a.size), real(a))[1]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pairs.np, "sqrt", pairs_measured)
+        list(pairs.pairs_of_blocks(x, x, x[:, 0], x[:, 0], 0.25))
+    assert sum(measured) < 600 * 600 / 50
+
+
 @pytest.mark.parametrize("radius", [0.0, 0.4, float("inf")])
 def test_pairs_within(spark, radius):
     table = np.random.default_rng(6).normal(size=(50, 2)).tolist()
