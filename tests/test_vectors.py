@@ -286,6 +286,22 @@ def test_centroid_rounds_with_few_clusters_in_sight(spark):
     same_merges(got, greedy(table, "centroid"))
 
 
+def test_centroid_rounds_where_distances_hardly_differ(spark, monkeypatch):
+    """One cluster takes in most points one by one, most of them out of sight; many merges a round."""
+    table = np.random.default_rng(3).normal(size=(110, 24))
+    table /= np.linalg.norm(table, axis=1)[:, None]
+    seen, real = [], centroids.Workspace.merges
+
+    def merging(self, *args):
+        seen.append(len(self.ids))
+        return real(self, *args)
+
+    monkeypatch.setattr(centroids.Workspace, "merges", merging)
+    got = merges(linkage.centroid_linkage(points_of(spark, table), whole=30, seeds=30, listed=5))
+    same_merges(got, greedy(table, "centroid"))
+    assert max(seen) <= 30 and len(seen) <= 12
+
+
 def test_centroid_workspace_with_ties():
     """All at once, and equal distances by lowest ids, against the plain loop."""
     table = [[x, y] for x in range(5) for y in range(4)] + [[0, 0], [0, 0], [3, 3]]
