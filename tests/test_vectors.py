@@ -159,6 +159,18 @@ def test_linkage_across_blocks(spark, name):
     same_merges(merges(LINKAGES[name](points_of(spark, table), 8)), greedy(table, name))
 
 
+@pytest.mark.parametrize("name", ["complete", "average"])
+@pytest.mark.parametrize("whole", [1, 9, 100])
+def test_last_merges_in_one_round(spark, monkeypatch, name, whole):
+    """A round of jobs only while more clusters are left than one task's matrix holds."""
+    table = np.random.default_rng(14).normal(size=(30, 3)).tolist()
+    rounds, real = [], linkage._neighbours
+    monkeypatch.setattr(linkage, "_neighbours", lambda *args: (rounds.append(1), real(*args))[1])
+    got = merges(LINKAGES[name](points_of(spark, table), 8, whole))
+    same_merges(got, greedy(table, name))
+    assert len(rounds) == 0 if whole == 100 else len(rounds) >= 2
+
+
 @pytest.mark.parametrize("name", ["complete", "average"])
 def test_linkage_of_copies(spark, name):
     table = [[0, 0], [4, 1], [0, 0], [9, 9], [4, 1], [0, 0], [20, 3], [0, 0]]
