@@ -243,6 +243,30 @@ def test_pairs_within_measures_only_what_may_be_near(spark):
     assert sum(measured) < 600 * 600 / 50
 
 
+@pytest.mark.parametrize("origin", [0.0, 1e6])
+def test_quick_distances(origin):
+    """Near copies, copies, points on a grid and very large ones, far from the origin too."""
+    rng = np.random.default_rng(2)
+    x = origin + rng.normal(size=(60, 16))
+    x[20:30], x[30:40] = x[:10], x[:10] + 1e-5
+    assert pairs.quick_distances(x, x) == pytest.approx(pairs.distances(x, x), rel=1e-9, abs=0)
+    grid = origin + rng.integers(-64, 64, (60, 16)) / 16
+    assert (pairs.quick_distances(grid[:20], grid) == pairs.distances(grid[:20], grid)).all()
+    with np.errstate(over="ignore", invalid="ignore"):
+        x[5] = 1e200
+        assert (np.isinf(pairs.quick_distances(x, x)) == np.isinf(pairs.distances(x, x))).all()
+
+
+def test_single_linkage_in_strips(spark, monkeypatch):
+    """Ties within a point's row, and more points than a strip."""
+    monkeypatch.setattr(linkage, "_STRIP", 4)
+    table = [[x * 1.5, y * 1.0] for x in range(5) for y in range(4)]
+    got = merges(linkage.single_linkage(points_of(spark, table), 40))
+    expected = greedy(table, "single")
+    assert [(h, n) for _, _, h, n in got][-1] == (pytest.approx(expected[-1][2]), 20)
+    assert [h for _, _, h, _ in got] == pytest.approx([h for _, _, h, _ in expected])
+
+
 @pytest.mark.parametrize("radius", [0.0, 0.4, float("inf")])
 def test_pairs_within(spark, radius):
     table = np.random.default_rng(6).normal(size=(50, 2)).tolist()
