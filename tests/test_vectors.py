@@ -353,3 +353,27 @@ def test_centroid_workspace_with_ties():
         expected.append((len(expected), a, b, new, d, p + q))
     assert [m[:4] for m in got] == [m[:4] for m in expected]
     assert [m[4] for m in got] == pytest.approx([m[4] for m in expected])
+
+
+def test_centroid_workspace_holds_no_matrix():
+    """What the driver holds grows with the clusters in sight, not with their square."""
+    table = np.random.default_rng(5).normal(size=(700, 12))
+    table /= np.linalg.norm(table, axis=1)[:, None]
+    members = [{"id": i, "v": v.tolist(), "size": 1} for i, v in enumerate(table)]
+    work = centroids.Workspace(members, dict.fromkeys(range(700), np.inf), np.inf)
+    assert sum(x.nbytes for x in vars(work).values() if isinstance(x, np.ndarray)) < 700 * 12 * 8 * 5
+    assert work.merges(0, 700, 699)[-1][5] == 700
+
+
+@pytest.mark.parametrize("dims, k", [(3, 1), (12, 6)])
+def test_nearest_of(dims, k):
+    """Against all distances, in strips and tiles, with rows that are themselves on the other side."""
+    rng = np.random.default_rng(dims)
+    left, right = rng.normal(size=(530, dims)) + 50, rng.normal(size=(8_300, dims)) + 50
+    right[:400], right[400:410] = left[:400], left[0]
+    own = np.where(np.arange(530) < 400, np.arange(530), -1)
+    r, c, d = pairs.nearest_of(left, right, k, own)
+    all_of = pairs.distances(left, right)
+    assert (d == all_of[r, c]).all() and (c != own[r]).all()
+    all_of[np.arange(400), np.arange(400)] = np.inf
+    assert (d.reshape(530, k) == np.sort(all_of, axis=1)[:, :k]).all()
