@@ -377,3 +377,19 @@ def test_nearest_of(dims, k):
     assert (d == all_of[r, c]).all() and (c != own[r]).all()
     all_of[np.arange(400), np.arange(400)] = np.inf
     assert (d.reshape(530, k) == np.sort(all_of, axis=1)[:, :k]).all()
+
+
+def test_single_linkage_meets_all_points_once(spark, monkeypatch):
+    """Lists tell the tree; only a family larger than a list searches again, once or twice."""
+    rng = np.random.default_rng(11)
+    table = np.concatenate([rng.normal(0, 0.001, size=(20, 3)), rng.normal(0, 5, size=(50, 3))])
+    asked, real = [], linkage._nearest_foreign
+
+    def searching(members, clusters, points, *args):
+        asked.append(points)
+        return real(members, clusters, points, *args)
+
+    monkeypatch.setattr(linkage, "_nearest_foreign", searching)
+    got = merges(linkage.single_linkage(points_of(spark, table), 30))
+    same_merges(got, greedy(table, "single"))
+    assert len(asked) <= 2 and sum(asked) < 70
