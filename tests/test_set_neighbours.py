@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from weftline.operators import set_neighbours as sn
@@ -137,3 +139,21 @@ def test_long_lists_are_cut(spark, monkeypatch):
     monkeypatch.setattr(sn, "_best_in_lists", bounded)
     got = found(sn.similar_sets(spark.createDataFrame(rows, SCHEMA), 3, list_rows=50, group_rows=50))
     assert got == brute(rows, 3)
+
+
+def test_a_block_is_unpacked_once(monkeypatch):
+    """Not again for each strip that meets it; shared elements are counted where pairs are near."""
+    rng = np.random.default_rng(2)
+    cells = rng.random((600, 40)) < 0.3
+    bits = [np.packbits(row).tobytes() for row in cells]
+    table = {"id": np.arange(600), "bits": pa.array(bits, pa.binary()), "n": cells.sum(axis=1).astype("i4")}
+    asking = pa.table(table | {"least": np.full(600, 0.1)})
+    unpacked, real = [], sn._BitSets.as_matrix
+    monkeypatch.setattr(sn, "_STRIP", 50)
+    monkeypatch.setattr(
+        sn._BitSets, "as_matrix", lambda self, *at: (unpacked.append(len(m := real(self, *at))), m)[1]
+    )
+    found = sn._best_in_blocks(3)(asking, pa.table(table)).to_pylist()
+    assert sum(unpacked) <= 2 * 600
+    common = cells.astype(int) @ cells.T
+    assert len(found) == 1_800 and all(r["common"] == common[r["id"], r["other"]] for r in found)

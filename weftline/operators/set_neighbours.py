@@ -173,6 +173,7 @@ class _BitSets:
         offsets = np.frombuffer(column.buffers()[1], "i4")[column.offset : column.offset + len(column) + 1]
         data = np.frombuffer(column.buffers()[2], "u1")[offsets[0] : offsets[-1]]
         self.bits = data.reshape(len(column), -1)
+        self._tiles: dict[int, np.ndarray] = {}
         if "least" in block.column_names:
             self.least = block.column("least").to_numpy()
 
@@ -180,6 +181,17 @@ class _BitSets:
         """Sets ``start`` to ``end`` as rows of zeros and ones."""
         return np.unpackbits(self.bits[start:end], axis=1).astype("f4")
 
+    def tile(self, start: int) -> np.ndarray:
+        """Sets ``start`` to ``start + _AGAINST`` as rows, with a one and their size; made once."""
+        if start not in self._tiles:
+            y, m = self.as_matrix(start, start + _AGAINST), self.sizes[start : start + _AGAINST]
+            self._tiles[start] = np.concatenate([y, np.ones((len(y), 1)), m[:, None]], axis=1, dtype="f4")
+        return self._tiles[start]
+
+    def common(self, rows: np.ndarray, other: _BitSets, others: np.ndarray) -> np.ndarray:
+        """How many elements each of some sets shares with one of another block."""
+        return np.bitwise_count(self.bits[rows] & other.bits[others]).sum(axis=1, dtype="i8")
+
 
 def _best_in_blocks(k: int):
     """Cogroup of two blocks of sets over few elements: the k most similar of the second for each of
@@ -206,26 +218,24 @@ def _best_of_strip(left: _BitSets, strip: slice, right: _BitSets, k: int) -> np.
     last = len(right.ids) if worst == 0 else int(np.searchsorted(right.sizes, sizes.max() / worst + 1e-6, "right"))
     # The nearest sizes first, so that the bounds rise early.
     middle = np.searchsorted(right.sizes, sizes[len(sizes) // 2])
-    parts = sorted(range(first, last, _AGAINST), key=lambda at: abs(at + _AGAINST // 2 - middle))
+    parts = sorted(range(first // _AGAINST * _AGAINST, last, _AGAINST), key=lambda at: abs(at + _AGAINST // 2 - middle))
     best = np.zeros((5, 0), "i8")
     for at in parts:
-        end = min(at + _AGAINST, last)
-        y, other, m = right.as_matrix(at, end), right.ids[at:end], right.sizes[at:end].astype("i8")
-        # jaccard >= t is common >= t / (1 + t) (n + m); what is nearly so is looked at exactly.
-        share = (least / (1 + least)).astype("f4")
-        common = x @ y.T
+        under, other, m = right.tile(at), right.ids[at : at + _AGAINST], right.sizes[at : at + _AGAINST].astype("i8")
         if (least > 0).all():
+            # jaccard >= t is common >= t / (1 + t) (n + m); what is nearly so is looked at exactly.
+            share = (least / (1 + least)).astype("f4")
             over = np.concatenate([x, (-share * sizes)[:, None], -share[:, None]], axis=1, dtype="f4")
-            under = np.concatenate([y, np.ones((len(y), 1)), m[:, None]], axis=1, dtype="f4")
             near = over @ under.T >= -2e-3
         else:
+            common = x @ under[:, :-2].T
             jaccard = common / (sizes[:, None] + m[None, :] - common)
             jaccard[ids[:, None] == other[None, :]] = 0
             n = min(k, jaccard.shape[1])
-            near = jaccard >= np.partition(jaccard, -n, axis=1)[:, [-n]]
-        u, v = np.nonzero(near & (common > 0))
-        both = common[u, v].astype("i8")
-        keep = (ids[u] != other[v]) & (both / (sizes[u] + m[v] - both) >= least[u])
+            near = (jaccard >= np.partition(jaccard, -n, axis=1)[:, [-n]]) & (common > 0)
+        u, v = np.divmod(np.flatnonzero(near), len(other))
+        both = left.common(u + strip.start, right, v + at)
+        keep = (ids[u] != other[v]) & (both > 0) & (both / (sizes[u] + m[v] - both) >= least[u])
         u, v, both = u[keep], v[keep], both[keep]
         best = np.concatenate([best, np.stack([u, other[v], both, sizes[u], m[v]])], axis=1)
         u, value = best[0], best[2] / (best[3] + best[4] - best[2])
